@@ -52,6 +52,11 @@ def archive_parts(file_name: Column | str) -> dict[str, Column]:
     }
 
 
+def decoded_file_name(file_name: Column | str) -> Column:
+    """File metadata gives names URL-encoded, but leaves a plus sign as it is."""
+    return F.url_decode(F.replace(_col(file_name), F.lit("+"), F.lit("%2B")))
+
+
 def exchange_of(asset_id: Column | str) -> Column:
     """Text before the first underscore."""
     return F.split_part(_col(asset_id), F.lit("_"), F.lit(1))

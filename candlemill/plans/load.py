@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from candlemill.functions.temporal import calendar_columns
@@ -14,25 +15,36 @@ from candlemill.session import written
 from candlemill.sources.store import BarStore
 
 
-def _ready(bars: DataFrame) -> DataFrame:
+def _one_each(bars: DataFrame) -> DataFrame:
+    """One bar per symbol and time, with the columns that place it in a partition."""
     if "period" not in bars.columns:
         bars = bars.withColumn("period", F.lit(None).cast("string"))
-    one_each = dedup_bars(bars, ["index", "cuote_timestamp"], "period")
-    return one_each.withColumns(calendar_columns())
+    return dedup_bars(bars, ["index", "cuote_timestamp"], "period").withColumns(calendar_columns())
+
+
+def _metric(seen: Observation, name: str) -> int | None:
+    """NULL if Spark found a stage empty at run time and cut the observed part from its plan."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return None
 
 
 def load_incremental(store: BarStore, bars: DataFrame, timeframe: str) -> dict[str, int]:
     """Append the bars newer than the mark of their symbol, all symbols in one job.
 
-    Bars at or before the mark are dropped. Running it twice, or again after a
-    failure, adds nothing. Returns the numbers of loaded and dropped bars.
+    Bars at or before the mark are dropped before anything is shuffled. Running it
+    twice, or again after a failure, adds nothing. Returns the numbers of `loaded`
+    bars and of `dropped` (late) records.
     """
-    seen = Observation()
-    marked = with_marks(_ready(bars), store.marks(timeframe)).observe(
-        seen, F.count_if(is_newer()).alias("loaded"), F.count_if(~is_newer()).alias("dropped")
-    )
-    store.append(timeframe, marked.where(is_newer()).drop(MARK))
-    return dict(seen.get)
+    late, fresh = Observation(), Observation()
+    marked = with_marks(bars, store.marks(timeframe))
+    newer = marked.observe(late, F.count_if(~is_newer()).alias("n")).where(is_newer()).drop(MARK)
+    store.append(timeframe, _one_each(newer).observe(fresh, F.count(F.lit(1)).alias("n")))
+    loaded, dropped = _metric(fresh, "n") or 0, _metric(late, "n")
+    if dropped is None:  # nothing was loaded, so the marks are still the same
+        dropped = marked.where(~is_newer()).count()
+    return {"loaded": loaded, "dropped": dropped}
 
 
 def load_all_timeframes(
@@ -57,7 +69,7 @@ def full_reload(store: BarStore, bars: DataFrame, timeframe: str) -> None:
     removed, so a failure in between leaves no symbol empty; a second run mends it.
     """
     keys = list(partition_columns(timeframe))
-    ready = _ready(bars)
+    ready = _one_each(bars)
     before = written(store.partitions(timeframe), "reload")
     store.overwrite_partitions(timeframe, ready)
     stale = before.join(ready.select("index"), "index", "left_semi").join(ready.select(*keys), keys, "left_anti")

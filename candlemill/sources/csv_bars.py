@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlemill.functions.temporal import calendar_columns, epoch_to_timestamp
-from candlemill.functions.text import archive_parts
+from candlemill.functions.text import archive_parts, decoded_file_name
 from candlemill.schema import CORRUPT, CSV_FIELDS_WITH_CORRUPT, KEPT_FIELDS
 
 _FILE = "__file"
@@ -32,7 +32,7 @@ def read_records(spark: SparkSession, path: str | list[str], since_period: str |
     if since_period is not None:
         period = archive_parts("_metadata.file_name")["period"]
         records = records.where(period.isNull() | (F.substring(period, 1, 7) >= since_period))
-    return with_file_parts(records.select("*", F.col("_metadata.file_name").alias(_FILE)))
+    return with_file_parts(records.select("*", decoded_file_name("_metadata.file_name").alias(_FILE)))
 
 
 def with_file_parts(records: DataFrame, file_col: str = _FILE) -> DataFrame:

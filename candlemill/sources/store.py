@@ -105,11 +105,14 @@ class BarStore:
     def layout(self, timeframe: str, bars: DataFrame) -> DataFrame:
         """Columns of the stored table, rows of one partition brought together.
 
-        The rebalance hint lets Spark merge small partitions and split a large one
-        by measured size.
+        One file per partition and write. A partition holds a day (or month) of one
+        symbol, so its rows are few; what costs is the number of files, which is
+        why they are spread over all tasks instead of merged by size.
         """
-        columns = [f.name for f in KEPT_FIELDS] + ["cuote_timestamp", *partition_columns(timeframe)]
-        return bars.select(*columns).hint("rebalance", *partition_columns(timeframe))
+        keys = partition_columns(timeframe)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        columns = [f.name for f in KEPT_FIELDS] + ["cuote_timestamp", *keys]
+        return bars.select(*columns).repartition(tasks, *keys)
 
     def append(self, timeframe: str, bars: DataFrame) -> None:
         self._append(timeframe, self.layout(timeframe, bars))
@@ -236,13 +239,15 @@ class CatalogStore(BarStore):
         if not self.exists(timeframe):
             self.append(timeframe, rows)
             return
-        # insertInto goes by position; the layout has the order of the table.
-        (
-            self.layout(timeframe, rows)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .insertInto(self.table(timeframe))
-        )
+        # insertInto goes by position; the layout has the order of the table. Unlike a
+        # write to a path it takes the mode from the session only.
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            self.layout(timeframe, rows).write.mode("overwrite").insertInto(self.table(timeframe))
+        finally:
+            self.spark.conf.set(mode, before)
 
     def drop_partitions(self, timeframe: str, partitions: DataFrame) -> None:
         keys = partition_columns(timeframe)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from candlemill.functions.text import decoded_file_name
 from candlemill.plans.load import load_all_timeframes
 from candlemill.schema import CORRUPT, CSV_FIELDS_WITH_CORRUPT, TIMEFRAMES
 from candlemill.sources.csv_bars import as_bars, bad_rows, with_file_parts
@@ -25,7 +26,7 @@ def stream_records(store: BarStore, path: str, files_per_batch: int | None = Non
     )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return with_file_parts(reader.csv(path).select("*", F.col("_metadata.file_name").alias("__file")))
+    return with_file_parts(reader.csv(path).select("*", decoded_file_name("_metadata.file_name").alias("__file")))
 
 
 def stream_incremental_load(

@@ -20,12 +20,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def normal(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        if str(df[c].dtype).startswith("datetime64") or "date" in c:
+        if str(df[c].dtype).startswith("datetime64") or c in ("cuote_date", "updated"):
             df[c] = df[c].map(lambda v: None if pd.isna(v) else str(pd.Timestamp(v)))
         elif df[c].dtype.kind == "f":
             df[c] = df[c].astype("float64")
         elif df[c].dtype.kind in "iu":
-            df[c] = df[c].astype("int64")
+            df[c] = df[c].astype("float64")
         else:
             df[c] = df[c].astype(object).where(df[c].notna(), None)
     return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
