@@ -43,5 +43,5 @@ def upsert_replace(
     keys = [key] if isinstance(key, str) else list(key)
     prefer = [prefer] if isinstance(prefer, str) else list(prefer)
     winners = _winner(updates, keys, [F.col(p) for p in prefer])
-    kept = target.join(updates.select(*keys), keys, "left_anti")
+    kept = target.join(updates.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(winners)

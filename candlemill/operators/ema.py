@@ -39,7 +39,7 @@ def add_ema(
     name: str = "in_EMA",
     partition_cols: Sequence[str] = SERIES,
     order_col: str = ORDER,
-    chunk_days: int = CHUNK_DAYS,
+    chunk_days: float = CHUNK_DAYS,
 ) -> DataFrame:
     """Adds column `name`. (series, order_col) has to be unique."""
     if span < 1:
@@ -62,7 +62,7 @@ def _weights(span: float) -> tuple[float, float, float]:
 
 
 def _within_chunks(
-    df: DataFrame, span: float, field: str, keys: list[str], order_col: str, chunk_days: int
+    df: DataFrame, span: float, field: str, keys: list[str], order_col: str, chunk_days: float
 ) -> DataFrame:
     alpha, _, unit = _weights(span)
     chunk = Window.partitionBy(*keys, "__chunk").orderBy(order_col)

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from candlemill.operators.series import calendar_chunk
+from candlemill.session import written
+
+_ROW_BITS = 33  # of monotonically_increasing_id: partition above, row in the partition below
 
 
 def by_priority(requests: DataFrame, arrival: Sequence[str] = ("arrival",)) -> DataFrame:
@@ -14,19 +16,18 @@ def by_priority(requests: DataFrame, arrival: Sequence[str] = ("arrival",)) -> D
     return requests.orderBy(F.desc("priority"), *arrival)
 
 
-def with_service_position(
-    requests: DataFrame, arrival: str = "arrival", tiebreak: Sequence[str] = (), chunk_days: int = 1
-) -> DataFrame:
+def with_service_position(requests: DataFrame, arrival: Sequence[str] = ("arrival",)) -> DataFrame:
     """Adds `position`, the 1-based place in the order of `by_priority`.
 
-    Rows are numbered per (priority, span of arrival) and shifted by the number of
-    requests in earlier spans. Only the counts, at most 11 per span of the
-    calendar, are summed up in one place.
+    The sort splits the requests into ranges of about equal size. They are written
+    down with their row number within the range, and shifted by the number of rows
+    in the ranges before, of which there is one per shuffle partition.
     """
-    spans = requests.withColumn("__chunk", calendar_chunk(requests, arrival, chunk_days))
-    counts = spans.groupBy("priority", "__chunk").agg(F.count(F.lit(1)).alias("__n"))
-    order = Window.orderBy(F.desc("priority"), "__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("priority", "__chunk", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__shift"))
-    within = Window.partitionBy("priority", "__chunk").orderBy(arrival, *tiebreak)
-    numbered = spans.withColumn("__row", F.row_number().over(within)).join(shifts, ["priority", "__chunk"])
-    return numbered.withColumn("position", F.col("__shift") + F.col("__row")).drop("__chunk", "__row", "__n", "__shift")
+    ordered = by_priority(requests, arrival).withColumn("__id", F.monotonically_increasing_id())
+    ordered = written(ordered, "ordered").withColumn("__part", F.shiftright("__id", _ROW_BITS))
+    sizes = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    row = F.col("__id") - F.shiftleft("__part", _ROW_BITS)
+    placed = ordered.join(F.broadcast(shifts), "__part")  # one row per range
+    return placed.withColumn("position", F.col("__shift") + row + 1).drop("__id", "__part", "__shift")

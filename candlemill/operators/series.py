@@ -38,12 +38,14 @@ def preceding(window: int, spec: WindowSpec | None = None) -> WindowSpec:
     return (spec if spec is not None else series_window()).rowsBetween(-window, 0)
 
 
-def calendar_chunk(df: DataFrame, order_col: str, days: int) -> Column:
+def calendar_chunk(df: DataFrame, order_col: str, days: float) -> Column:
     """Number of the span of `days` that a row falls into; never falls as time rises."""
-    kind = df.schema[order_col].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds(order_col) / (86400 * days)).cast("long")
-    return F.floor(F.datediff(F.to_date(order_col), F.lit("1970-01-01").cast("date")) / days).cast("long")
+    if isinstance(df.schema[order_col].dataType, T.TimestampType):
+        seconds = F.unix_seconds(order_col)
+    else:  # without zone, so by the clock alone
+        day = F.datediff(F.to_date(order_col), F.lit("1970-01-01").cast("date"))
+        seconds = day.cast("long") * 86400 + F.hour(order_col) * 3600 + F.minute(order_col) * 60
+    return F.floor(seconds / int(86400 * days)).cast("long")
 
 
 def over_series(
@@ -52,7 +54,7 @@ def over_series(
     add_columns: Callable[[DataFrame, WindowSpec], DataFrame],
     partition_cols: Sequence[str] = SERIES,
     order_col: str = ORDER,
-    chunk_days: int | None = CHUNK_DAYS,
+    chunk_days: float | None = CHUNK_DAYS,
 ) -> DataFrame:
     """Apply `add_columns(df, window)` to every series.
 

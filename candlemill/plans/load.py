@@ -30,15 +30,20 @@ def _metric(seen: Observation, name: str) -> int | None:
         return None
 
 
-def load_incremental(store: BarStore, bars: DataFrame, timeframe: str) -> dict[str, int]:
+def load_incremental(
+    store: BarStore, bars: DataFrame, timeframe: str, symbols: DataFrame | None = None
+) -> dict[str, int]:
     """Append the bars newer than the mark of their symbol, all symbols in one job.
 
+    `symbols`, if given, has to name every symbol in `bars`; then only their marks
+    are read, which pays when a few of many stored symbols are loaded.
+
     Bars at or before the mark are dropped before anything is shuffled. Running it
     twice, or again after a failure, adds nothing. Returns the numbers of `loaded`
     bars and of `dropped` (late) records.
     """
     late, fresh = Observation(), Observation()
-    marked = with_marks(bars, store.marks(timeframe))
+    marked = with_marks(bars, store.marks(timeframe, symbols))
     newer = marked.observe(late, F.count_if(~is_newer()).alias("n")).where(is_newer()).drop(MARK)
     store.append(timeframe, _one_each(newer).observe(fresh, F.count(F.lit(1)).alias("n")))
     loaded, dropped = _metric(fresh, "n") or 0, _metric(late, "n")
@@ -48,7 +53,10 @@ def load_incremental(store: BarStore, bars: DataFrame, timeframe: str) -> dict[s
 
 
 def load_all_timeframes(
-    store: BarStore, bars: DataFrame | Mapping[str, DataFrame], timeframes: Sequence[str] = TIMEFRAMES
+    store: BarStore,
+    bars: DataFrame | Mapping[str, DataFrame],
+    timeframes: Sequence[str] = TIMEFRAMES,
+    symbols: DataFrame | None = None,
 ) -> dict[str, dict[str, int]]:
     """`load_incremental` for every timeframe.
 
@@ -58,7 +66,7 @@ def load_all_timeframes(
     counts = {}
     for timeframe in timeframes:
         rows = bars[timeframe] if isinstance(bars, Mapping) else bars.where(F.col("timeframe") == timeframe)
-        counts[timeframe] = load_incremental(store, rows, timeframe)
+        counts[timeframe] = load_incremental(store, rows, timeframe, symbols)
     return counts
 
 
@@ -69,10 +77,11 @@ def full_reload(store: BarStore, bars: DataFrame, timeframe: str) -> None:
     removed, so a failure in between leaves no symbol empty; a second run mends it.
     """
     keys = list(partition_columns(timeframe))
-    ready = _one_each(bars)
-    before = written(store.partitions(timeframe), "reload")
-    store.overwrite_partitions(timeframe, ready)
-    stale = before.join(ready.select("index"), "index", "left_semi").join(ready.select(*keys), keys, "left_anti")
+    before = written(store.partitions(timeframe), "before")
+    after = written(bars.withColumns(calendar_columns()).select(*keys).distinct(), "after")
+    store.overwrite_partitions(timeframe, _one_each(bars))
+    symbols = after.select("index").distinct()
+    stale = before.join(symbols, "index", "left_semi").join(after, keys, "left_anti")
     store.drop_partitions(timeframe, stale)
 
 
@@ -94,10 +103,9 @@ def replace_by_key(
     keys = list(partition_columns(timeframe))
     updates = updates.withColumns(calendar_columns())
     stored = store.read(timeframe)
-    columns = stored.columns
-    replaced = stored.join(updates.select(*key), list(key), "left_semi")
+    replaced = stored.join(updates.select(*key).distinct(), list(key), "left_semi")
     touched = written(replaced.select(*keys).union(updates.select(*keys)).distinct(), "touched")
-    rows = upsert_replace(stored.join(touched, keys, "left_semi"), updates.select(*columns), key)
-    rows = written(rows, "replace")
+    rows = upsert_replace(stored.join(touched, keys, "left_semi"), updates.select(*stored.columns), key)
+    rows = written(rows, "replaced")
     store.overwrite_partitions(timeframe, rows)
-    store.drop_partitions(timeframe, touched.join(rows.select(*keys), keys, "left_anti"))
+    store.drop_partitions(timeframe, touched.join(rows.select(*keys).distinct(), keys, "left_anti"))

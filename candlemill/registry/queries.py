@@ -557,7 +557,7 @@ def request_route(spark, sf_dir):
 @query
 def request_priority(spark, sf_dir):
     loads = _routed(spark, sf_dir).where(F.col("route") == "load")
-    df = ranking.with_service_position(loads, tiebreak=["o_orderkey"], chunk_days=30)
+    df = ranking.with_service_position(loads, ["arrival", "o_orderkey"])
     return df.select("o_orderkey", "priority", F.col("position").cast("bigint").alias("position"))
 
 

@@ -6,8 +6,10 @@ catalogue. Both offer the same operations, so the load pipelines take either.
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from candlemill.functions.text import partition_date, partition_symbol, partition_year_month
@@ -19,6 +21,7 @@ from candlemill.operators.marks import (
 )
 from candlemill.schema import (
     DATABASE,
+    DAY_PARTITIONS,
     KEPT_FIELDS,
     TIMEFRAMES,
     partition_columns,
@@ -26,6 +29,10 @@ from candlemill.schema import (
     stored_schema,
     table_name,
 )
+from candlemill.session import written
+
+_BROADCAST_ROWS = 1_000_000  # of a symbol and a date: some tens of megabytes
+_STATEMENT_PARTITIONS = 500
 
 _LISTING = T.StructType(
     [
@@ -37,6 +44,13 @@ _LISTING = T.StructType(
 )
 
 
+def _partition_label(timeframe: str) -> Column:
+    """yyyy-MM-dd or yyyy-MM, which sort by time."""
+    if partition_columns(timeframe) == DAY_PARTITIONS:
+        return F.col("cuote_date").cast("string")
+    return F.format_string("%04d-%02d", "cuote_year", "cuote_month")
+
+
 class BarStore:
     """What both stores share."""
 
@@ -89,18 +103,31 @@ class BarStore:
             return latest_partition_date(partitions)
         return latest_partition_year_month(partitions)
 
-    def read_last_partitions(self, timeframe: str) -> DataFrame:
-        """Bars in the newest partition of every symbol.
+    def read_last_partitions(self, timeframe: str, symbols: DataFrame | None = None) -> DataFrame:
+        """Bars in the newest partition of every symbol, or of those in `symbols`.
 
-        The newest partitions come from the file listing. When their measured size
-        lets Spark broadcast them, they also prune the scan of the bars.
+        The newest partitions come from the listing and are written down, one small
+        row per symbol. Their oldest date goes into the scan as a plain bound, which
+        prunes whatever the number of symbols. Up to `_BROADCAST_ROWS` of them are
+        broadcast and prune to exactly the newest partitions; beyond, they join by
+        shuffle.
         """
         keys = list(partition_columns(timeframe))
-        return self.read(timeframe).join(self.newest_partitions(timeframe), keys, "left_semi")
-
-    def marks(self, timeframe: str) -> DataFrame:
+        newest = self.newest_partitions(timeframe)
+        if symbols is not None:
+            newest = newest.join(symbols.select("index").distinct(), "index", "left_semi")
+        newest = written(newest, "newest")
+        oldest = F.min(F.struct(*keys[1:]))
+        count, bound = newest.agg(F.count(F.lit(1)), oldest).first()
+        bars = self.read(timeframe)
+        if bound is None:
+            return bars.where(F.lit(False))
+        bars = bars.where(F.col(keys[1]) >= F.lit(bound[0]))
+        return bars.join(F.broadcast(newest) if count <= _BROADCAST_ROWS else newest, keys, "left_semi")
+
+    def marks(self, timeframe: str, symbols: DataFrame | None = None) -> DataFrame:
         """High-water mark per symbol, read from newest partitions only."""
-        return high_water_mark(self.read_last_partitions(timeframe)).where(F.col(MARK).isNotNull())
+        return high_water_mark(self.read_last_partitions(timeframe, symbols)).where(F.col(MARK).isNotNull())
 
     def layout(self, timeframe: str, bars: DataFrame) -> DataFrame:
         """Columns of the stored table, rows of one partition brought together.
@@ -124,7 +151,7 @@ class BarStore:
                 F.lit(self.database).alias("database"),
                 F.lit(table_name(t)).alias("table"),
                 "index",
-                F.concat_ws("-", *[F.lpad(F.col(c).cast("string"), 2, "0") if c == "cuote_month" else F.col(c).cast("string") for c in partition_columns(t)[1:]]).alias("partition"),
+                _partition_label(t).alias("partition"),
             )
             for t in TIMEFRAMES
             if self.exists(t)
@@ -251,10 +278,16 @@ class CatalogStore(BarStore):
 
     def drop_partitions(self, timeframe: str, partitions: DataFrame) -> None:
         keys = partition_columns(timeframe)
-        specs = partitions.select(*keys).distinct()
-        for row in specs.toLocalIterator():  # partition values only, one at a time
-            spec = ", ".join(f"{k} = '{row[k]}'" for k in keys)
-            self.spark.sql(f"ALTER TABLE {self.table(timeframe)} DROP IF EXISTS PARTITION ({spec})")
+        rows = partitions.select(*keys).distinct().toLocalIterator()  # partition values only
+        for some in iter(lambda: list(islice(rows, _STATEMENT_PARTITIONS)), []):
+            specs = ", ".join(
+                "PARTITION (" + ", ".join(f"{k} = {_literal(row[k])}" for k in keys) + ")" for row in some
+            )
+            self.spark.sql(f"ALTER TABLE {self.table(timeframe)} DROP IF EXISTS {specs}")
+
+
+def _literal(value: object) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def read_table(spark: SparkSession, name: str, format: str = "parquet", **options) -> DataFrame:

@@ -60,7 +60,7 @@ def stream_incremental_load(
                 bars = as_bars(batch)
             else:
                 bars = batch
-            counts = load_all_timeframes(store, bars, timeframes)
+            counts = load_all_timeframes(store, bars, timeframes, bars.select("index").distinct())
         finally:
             batch.unpersist()
         rows = [(batch_id, t, c["loaded"], c["dropped"]) for t, c in counts.items()]

@@ -40,12 +40,13 @@ def stream_requests(
             accepted = routed.where(F.col("route") == "load")
             symbols = accepted.select(F.col("symbol").alias("index")).distinct()
             for timeframe in timeframes:
-                load_incremental(store, bars_of(timeframe).join(symbols, "index", "left_semi"), timeframe)
+                bars = bars_of(timeframe).join(symbols, "index", "left_semi")
+                load_incremental(store, bars, timeframe, symbols)
 
             def log(rows: DataFrame, name: str) -> None:
                 rows.drop("route", "valid").write.mode("overwrite").parquet(f"{log_path}/{name}/batch={batch_id}")
 
-            log(with_service_position(accepted, tiebreak=["value"]), "accepted")
+            log(with_service_position(accepted, ["arrival", "value"]), "accepted")
             log(routed.where(F.col("route") == "unsupported"), "unsupported")
             log(dead_letters(routed), "rejected")
         finally:
