@@ -75,7 +75,7 @@ def parse_request(payload: Column | str) -> Column:
     return F.struct(
         raw["symbol"].alias("symbol"),
         raw["exchange"].alias("exchange"),
-        F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), priority)).alias("priority"),
+        F.when(priority.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), priority))).alias("priority"),
         F.coalesce(valid, F.lit(False)).alias("valid"),
     )
 
