@@ -42,19 +42,22 @@ def partition_year_month(name: Column | str) -> Column:
     return year * 100 + month
 
 
-def archive_parts(file_name: Column | str) -> dict[str, Column]:
-    """Symbol, timeframe and period (NULL for a whole series) of an archive name."""
-    file_name = _col(file_name)
-    return {
-        "index": _group(file_name, ARCHIVE_NAME, 1),
-        "timeframe": _group(file_name, ARCHIVE_NAME, 2),
-        "period": _group(file_name, ARCHIVE_NAME, 3),
-    }
-
-
-def decoded_file_name(file_name: Column | str) -> Column:
-    """File metadata gives names URL-encoded, but leaves a plus sign as it is."""
-    return F.url_decode(F.replace(_col(file_name), F.lit("+"), F.lit("%2B")))
+def archive_split(file_name: Column | str) -> Column:
+    """[symbol, timeframe, period] of an archive name, by one match of the pattern."""
+    return F.split(F.regexp_replace(_col(file_name), F.lit(ARCHIVE_NAME), F.lit("$1/$2/$3")), "/")
+
+
+def archive_fields(split: Column | str) -> dict[str, Column]:
+    """Symbol, timeframe and period; NULL where the name has none or is no archive name."""
+    split = _col(split)
+    found = F.size(split) == 3
+    period = F.when(found & (split[2] != ""), split[2])
+    return {"index": F.when(found, split[0]), "timeframe": F.when(found, split[1]), "period": period}
+
+
+def url_decoded(name: Column | str) -> Column:
+    """File metadata and partition names come with %XX escapes, but with a plain plus sign."""
+    return F.url_decode(F.replace(_col(name), F.lit("+"), F.lit("%2B")))
 
 
 def exchange_of(asset_id: Column | str) -> Column:

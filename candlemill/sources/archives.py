@@ -9,8 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlemill.schema import CORRUPT, CSV_FIELDS_WITH_CORRUPT
-from candlemill.sources.csv_bars import with_file_parts
+from candlemill.sources.csv_bars import records_of_lines
 
 _LINES_PER_BATCH = 20_000
 
@@ -50,8 +49,4 @@ def read_zip_records(spark: SparkSession, path: str, since_period: str | None =
     if since_period is not None:
         period = F.regexp_extract("file_name", r"-(\d{4}-\d{2})(?:-\d{2})?\.zip$", 1)
         files = files.where((period == "") | (period >= since_period))
-    lines = files.mapInPandas(_unpack, "file_name string, line string").where(F.length(F.trim("line")) > 0)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_FIELDS_WITH_CORRUPT.fields)
-    records = lines.select("file_name", F.from_csv("line", schema, options).alias("r")).select("r.*", "file_name")
-    return with_file_parts(records, "file_name")
+    return records_of_lines(files.mapInPandas(_unpack, "file_name string, line string"))

@@ -5,38 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlemill.functions.temporal import calendar_columns, epoch_to_timestamp
-from candlemill.functions.text import archive_parts, decoded_file_name
+from candlemill.functions.text import archive_fields, archive_split, url_decoded
 from candlemill.schema import CORRUPT, CSV_FIELDS_WITH_CORRUPT, KEPT_FIELDS
 
-_FILE = "__file"
+_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_FIELDS_WITH_CORRUPT.fields)
 
 
 def read_records(spark: SparkSession, path: str | list[str], since_period: str | None = None) -> DataFrame:
     """CSV records with symbol, timeframe and period from the file name.
 
-    A record that does not fit keeps its text in the corrupt-record column. Column
-    pruning of the CSV parser is off, so the same records are corrupt whatever
-    columns a query uses. With `since_period` (yyyy-MM) Spark opens only archives
-    of that month or later; files without a period are always read.
+    With `since_period` (yyyy-MM) Spark opens only archives of that month or
+    later; files without a period are always read.
     """
-    records = (
-        spark.read.schema(CSV_FIELDS_WITH_CORRUPT)
-        .option("header", False)
-        .option("sep", ",")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
     if since_period is not None:
-        period = archive_parts("_metadata.file_name")["period"]
-        records = records.where(period.isNull() | (F.substring(period, 1, 7) >= since_period))
-    return with_file_parts(records.select("*", decoded_file_name("_metadata.file_name").alias(_FILE)))
+        period = archive_fields(archive_split("_metadata.file_name"))["period"]
+        lines = lines.where(period.isNull() | (F.substring(period, 1, 7) >= since_period))
+    return records_of_lines(named_lines(lines))
+
+
+def named_lines(lines: DataFrame) -> DataFrame:
+    """Text lines with the name of their file, batch or stream."""
+    return lines.select(F.col("value").alias("line"), url_decoded("_metadata.file_name").alias("file_name"))
 
 
-def with_file_parts(records: DataFrame, file_col: str = _FILE) -> DataFrame:
-    return records.withColumns(archive_parts(file_col)).drop(file_col)
+def records_of_lines(lines: DataFrame) -> DataFrame:
+    """Records of (line, file_name).
+
+    A line that does not fit keeps its text in the corrupt-record column. Every
+    line is parsed as a whole: the CSV source would convert only the columns a
+    query uses, and so find fewer bad records the fewer columns are asked for.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # inline() keeps later filters above the parser, so a line is parsed once.
+    fields = F.inline(F.array(F.from_csv("line", _DDL, options)))
+    parsed = lines.where(F.length(F.trim("line")) > 0).select(fields, archive_split("file_name").alias("__name"))
+    return parsed.withColumns(archive_fields("__name")).drop("__name")
 
 
 def is_bad() -> Column:

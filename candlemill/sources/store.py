@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from candlemill.functions.text import partition_date, partition_symbol, partition_year_month
+from candlemill.functions.text import partition_date, partition_symbol, partition_year_month, url_decoded
 from candlemill.operators.marks import (
     MARK,
     high_water_mark,
@@ -181,9 +181,17 @@ class PathStore(BarStore):
         return f"{self.root}/{self.database}/{table_name(timeframe)}"
 
     def exists(self, timeframe: str) -> bool:
-        """Judged by what is written, not by a catalogue entry."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(timeframe))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        """Judged by the first data file found, not by a catalogue entry or an empty folder."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(timeframe))
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return False
+        found = fs.listFiles(root, True)
+        while found.hasNext():
+            path = found.next().getPath().toString()
+            if path.endswith(".parquet") and "/_" not in path[len(self.location(timeframe)) :]:
+                return True
+        return False
 
     def _read(self, timeframe: str) -> DataFrame:
         return self.spark.read.schema(stored_schema(timeframe)).parquet(self.location(timeframe))
@@ -250,7 +258,7 @@ class CatalogStore(BarStore):
         return self.spark.sql(f"SHOW PARTITIONS {self.table(timeframe)}")
 
     def _partitions(self, timeframe: str) -> DataFrame:
-        shown = self.partition_strings(timeframe).withColumn("index", partition_symbol("partition"))
+        shown = self.partition_strings(timeframe).withColumn("index", url_decoded(partition_symbol("partition")))
         if "cuote_date" in partition_columns(timeframe):
             return shown.select("index", partition_date("partition").alias("cuote_date"))
         ym = partition_year_month("partition")

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from candlemill.functions.text import decoded_file_name
 from candlemill.plans.load import load_all_timeframes
-from candlemill.schema import CORRUPT, CSV_FIELDS_WITH_CORRUPT, TIMEFRAMES
-from candlemill.sources.csv_bars import as_bars, bad_rows, with_file_parts
+from candlemill.schema import TIMEFRAMES
+from candlemill.sources.csv_bars import as_bars, bad_rows, named_lines, records_of_lines
 from candlemill.sources.store import BarStore
 
 _COUNTS = "batch_id bigint, timeframe string, loaded bigint, dropped bigint"
@@ -18,15 +17,10 @@ _COUNTS = "batch_id bigint, timeframe string, loaded bigint, dropped bigint"
 
 def stream_records(store: BarStore, path: str, files_per_batch: int | None = None) -> DataFrame:
     """CSV records as they arrive; same columns as `read_records`."""
-    reader = (
-        store.spark.readStream.schema(CSV_FIELDS_WITH_CORRUPT)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
-    )
+    reader = store.spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return with_file_parts(reader.csv(path).select("*", decoded_file_name("_metadata.file_name").alias("__file")))
+    return records_of_lines(named_lines(reader.text(path)))
 
 
 def stream_incremental_load(

@@ -102,13 +102,13 @@ def test_partition_strings(spark):
 
 def test_archive_names(spark):
     def parts(name):
-        return tuple(value(spark, c) for c in text.archive_parts(F.lit(name)).values())
+        return tuple(value(spark, c) for c in text.archive_fields(text.archive_split(F.lit(name))).values())
 
     assert parts("BTCUSDT-1h.csv") == ("BTCUSDT", "1h", None)
     assert parts("A-B-15m-2025-01.zip") == ("A-B", "15m", "2025-01")
     assert parts("BTCUSDT-1d-2025-01-31.csv") == ("BTCUSDT", "1d", "2025-01-31")
     assert parts("other.csv") == (None, None, None)
-    assert value(spark, text.decoded_file_name(F.lit("A%20B+C-1h.csv"))) == "A B+C-1h.csv"
+    assert value(spark, text.url_decoded(F.lit("A%20B+C-1h.csv"))) == "A B+C-1h.csv"
 
 
 @pytest.mark.parametrize(
