@@ -65,22 +65,14 @@ def exchange_of(asset_id: Column | str) -> Column:
     return F.split_part(_col(asset_id), F.lit("_"), F.lit(1))
 
 
-def parse_request(payload: Column | str) -> Column:
-    """Struct of symbol, exchange, priority (0..10) and `valid`."""
-    raw = F.from_json(_col(payload), REQUEST_SCHEMA, {"mode": "PERMISSIVE"})
-    priority = raw["priority"].try_cast("int")
-    valid = (
-        raw["symbol"].isNotNull()
-        & raw["exchange"].isNotNull()
-        & priority.isNotNull()
-        & raw["_corrupt_record"].isNull()
-    )
-    return F.struct(
-        raw["symbol"].alias("symbol"),
-        raw["exchange"].alias("exchange"),
-        F.when(priority.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), priority))).alias("priority"),
-        F.coalesce(valid, F.lit(False)).alias("valid"),
-    )
+def request_fields(symbol: Column, exchange: Column, priority: Column, corrupt: Column) -> dict[str, Column]:
+    """Checked fields of a decoded request: priority as a number of 0..10, and `valid`."""
+    number = priority.try_cast("int")
+    known = symbol.isNotNull() & exchange.isNotNull() & number.isNotNull()
+    return {
+        "priority": F.when(number.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), number))),
+        "valid": known & corrupt.isNull(),
+    }
 
 
 def request_payload(symbol: Column | str, exchange: Column | str, priority: Column | str) -> Column:

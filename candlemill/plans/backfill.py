@@ -6,6 +6,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from candlemill.functions.text import archive_fields, archive_split
+
 
 def _day(value: date | str) -> Column:
     return F.lit(str(value)).cast("date")
@@ -55,9 +57,19 @@ def backfill_plan(
     days = F.when(weekly | (this_month > end_day), nothing).otherwise(
         _steps(first_open_day, end_day, "day", "daily", "yyyy-MM-dd")
     )
-    plan = series.select(
-        "index", "timeframe", F.inline(F.concat(months, F.when(weekly, nothing).otherwise(rest), days))
-    ).withColumn("file_name", F.concat(F.concat_ws("-", "index", "timeframe", "period"), F.lit(".zip")))
+    needed = F.concat(months, F.when(weekly, nothing).otherwise(rest), days)
     if manifest is not None:
-        plan = plan.join(manifest.select("file_name"), "file_name", "left_anti")
-    return plan.select("index", "timeframe", "kind", "period", "file_name")
+        # Per series, before the periods become rows: both arrays are bounded by the calendar.
+        series = series.join(_at_hand(manifest), ["index", "timeframe"], "left")
+        needed = F.array_except(needed, F.coalesce("at_hand", nothing))
+    plan = series.select("index", "timeframe", F.inline(needed))
+    return plan.withColumn("file_name", F.concat(F.concat_ws("-", "index", "timeframe", "period"), F.lit(".zip")))
+
+
+def _at_hand(manifest: DataFrame) -> DataFrame:
+    """Archives already there, as one set of (kind, period) per series."""
+    names = manifest.select(archive_split("file_name").alias("name"))
+    parts = names.select(*[c.alias(k) for k, c in archive_fields("name").items()])
+    kind = F.when(F.length("period") == len("yyyy-MM"), F.lit("monthly")).otherwise(F.lit("daily"))
+    period = F.struct(kind.alias("kind"), "period")
+    return parts.where(F.col("period").isNotNull()).groupBy("index", "timeframe").agg(F.collect_set(period).alias("at_hand"))

@@ -112,6 +112,8 @@ class BarStore:
         broadcast and prune to exactly the newest partitions; beyond, they join by
         shuffle.
         """
+        if not self.exists(timeframe):
+            return self.read(timeframe)
         keys = list(partition_columns(timeframe))
         newest = self.newest_partitions(timeframe)
         if symbols is not None:

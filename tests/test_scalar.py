@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from candlemill.functions import scalar, temporal, text
 from candlemill.functions.sql import register_functions
+from candlemill.sources import catalogue
 from candlemill.schema import chunk_days, partition_columns, table_name
 
 
@@ -122,12 +123,15 @@ def test_archive_names(spark):
     ],
 )
 def test_requests(spark, payload, expected):
-    assert tuple(value(spark, text.parse_request(F.lit(payload)))) == expected
+    raw = spark.createDataFrame([(payload,)], "value string")
+    row = catalogue.parse_requests(raw).first()
+    assert (row.symbol, row.exchange, row.priority, row.valid) == expected
 
 
 @pytest.mark.parametrize("payload", ["", "no json", '{"symbol":"A', None])
 def test_unreadable_requests(spark, payload):
-    assert value(spark, text.parse_request(F.lit(payload).cast("string"))).valid is False
+    rows = catalogue.parse_requests(spark.createDataFrame([(payload,)], "value string")).collect()
+    assert [(r.value, r.valid) for r in rows] == [(payload, False)]
 
 
 def test_routes():

@@ -88,9 +88,12 @@ def test_last_timestamps_use_one_unit_rule(spark, folder):
     assert {r["index"]: r.t for r in rows.collect()} == {"A": "2025-01-01 01:00:00", "B": "2025-01-01 00:00:00"}
 
 
-def test_assets_and_routes(spark):
+def test_assets_and_routes(spark, folder):
     assets = spark.createDataFrame([("binance_x_y", "A"), ("coinex", "B")], "id string, symbol string")
     assert [r.exchange for r in catalogue.asset_catalog(assets).orderBy("symbol").collect()] == ["binance", "coinex"]
+    put(folder, "list.json", '[{"id": "binance_x_y", "symbol": "A"},', ' {"id": "coinex", "symbol": "B"}]')
+    listed = catalogue.read_assets(spark, folder, one_document=True)
+    assert sorted(map(tuple, listed.collect())) == [("binance_x_y", "A", "binance"), ("coinex", "B", "coinex")]
     raw = spark.createDataFrame(
         [('{"symbol":"A","exchange":"binance","priority":0}',), ('{"symbol":"A","exchange":"coinex","priority":0}',), ("x",)],
         "value string",
