@@ -41,14 +41,14 @@ def add_ema(
     order_col: str = ORDER,
     chunk_days: float = CHUNK_DAYS,
 ) -> DataFrame:
-    """Adds column `name`. (series, order_col) has to be unique."""
+    """Adds column `name`. (series, order_col) has to be unique and not NULL."""
     if span < 1:
         raise ValueError("span must be at least 1")
     keys = list(partition_cols)
     rows = _within_chunks(df, span, field, keys, order_col, chunk_days)
     starts = _chunk_starts(rows, span, keys)
-    same = [rows[k].eqNullSafe(starts[f"__s_{k}"]) for k in [*keys, "__chunk"]]
-    joined = rows.join(starts, same, "left")
+    # Plain equality, so that rows stay where the windows above have put them.
+    joined = rows.join(starts, [*keys, "__chunk"], "left")
     value = F.when(F.col("__depth").isNull(), F.col("__before")).otherwise(
         F.col("__own") + F.exp(-F.col("__depth")) * F.col("__start")
     )
@@ -121,8 +121,7 @@ def _chunk_starts(rows: DataFrame, span: float, keys: list[str]) -> DataFrame:
     )
     fields = ["__chunk", "n", "first_pos", "last_pos", "first_x", "depth", "own"]
     series = chunks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("chunks"))
-    starts = series.select(*keys, F.inline(_fold(F.col("chunks"), span)))
-    return starts.withColumnsRenamed({k: f"__s_{k}" for k in [*keys, "__chunk"]})
+    return series.select(*keys, F.inline(_fold(F.col("chunks"), span)))
 
 
 def _fold(chunks: Column, span: float) -> Column:

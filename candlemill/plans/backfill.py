@@ -13,14 +13,17 @@ def _day(value: date | str) -> Column:
     return F.lit(str(value)).cast("date")
 
 
-def _steps(first: Column, last: Column, unit: str, kind: str, pattern: str) -> Column:
-    """Array of (kind, period), empty when the range is."""
-    days = F.when(first <= last, F.sequence(first, last, F.expr(f"interval 1 {unit}"))).otherwise(
-        F.array().cast("array<date>")
-    )
-    return F.transform(
-        days, lambda d: F.struct(F.lit(kind).alias("kind"), F.date_format(d, pattern).alias("period"))
-    )
+def _steps(first: Column, last: Column, unit: str) -> Column:
+    """Array of dates, empty when the range is."""
+    return F.when(first <= last, F.sequence(first, last, F.expr(f"interval 1 {unit}"))).otherwise(_no_dates())
+
+
+def _no_dates() -> Column:
+    return F.array().cast("array<date>")
+
+
+def _as(kind: str, days: Column) -> Column:
+    return F.transform(days, lambda d: F.struct(F.lit(kind).alias("kind"), d.alias("day")))
 
 
 def backfill_plan(
@@ -51,25 +54,32 @@ def backfill_plan(
     has_rest = begun & (month(cursor) <= last_month)
     first_open_day = F.when(loaded, F.greatest(cursor, F.add_months(last_month, 1))).otherwise(this_month)
 
-    nothing = F.array().cast("array<struct<kind:string,period:string>>")
-    months = _steps(first_month, last_month, "month", "monthly", "yyyy-MM")
-    rest = F.when(has_rest, _steps(cursor, rest_of_begun_month, "day", "daily", "yyyy-MM-dd")).otherwise(nothing)
-    days = F.when(weekly | (this_month > end_day), nothing).otherwise(
-        _steps(first_open_day, end_day, "day", "daily", "yyyy-MM-dd")
-    )
-    needed = F.concat(months, F.when(weekly, nothing).otherwise(rest), days)
+    months = _steps(first_month, last_month, "month")
+    rest = F.when(has_rest, _steps(cursor, rest_of_begun_month, "day")).otherwise(_no_dates())
+    open_days = F.when(this_month <= end_day, _steps(first_open_day, end_day, "day")).otherwise(_no_dates())
+    days = F.when(weekly, _no_dates()).otherwise(F.concat(rest, open_days))
     if manifest is not None:
-        # Per series, before the periods become rows: both arrays are bounded by the calendar.
+        # Per series, before the periods become rows: the arrays are bounded by the calendar.
         series = series.join(_at_hand(manifest), ["index", "timeframe"], "left")
-        needed = F.array_except(needed, F.coalesce("at_hand", nothing))
-    plan = series.select("index", "timeframe", F.inline(needed))
+        months = F.array_except(months, F.coalesce("months_at_hand", _no_dates()))
+        days = F.array_except(days, F.coalesce("days_at_hand", _no_dates()))
+    # A series is one small row here and up to hundreds below; spread the rows, not their bytes.
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    series = series.repartition(tasks, "index", "timeframe")
+    needed = series.select("index", "timeframe", F.inline(F.concat(_as("monthly", months), _as("daily", days))))
+    day = F.col("day").cast("string")
+    period = F.when(F.col("kind") == "monthly", F.substring(day, 1, len("yyyy-MM"))).otherwise(day)
+    plan = needed.select("index", "timeframe", "kind", period.alias("period"))
     return plan.withColumn("file_name", F.concat(F.concat_ws("-", "index", "timeframe", "period"), F.lit(".zip")))
 
 
 def _at_hand(manifest: DataFrame) -> DataFrame:
-    """Archives already there, as one set of (kind, period) per series."""
+    """Archives already there, as sets of months and of days per series."""
     names = manifest.select(archive_split("file_name").alias("name"))
-    parts = names.select(*[c.alias(k) for k, c in archive_fields("name").items()])
-    kind = F.when(F.length("period") == len("yyyy-MM"), F.lit("monthly")).otherwise(F.lit("daily"))
-    period = F.struct(kind.alias("kind"), "period")
-    return parts.where(F.col("period").isNotNull()).groupBy("index", "timeframe").agg(F.collect_set(period).alias("at_hand"))
+    parts = names.select(*[c.alias(k) for k, c in archive_fields("name").items()]).where(F.col("period").isNotNull())
+    monthly = F.length("period") == len("yyyy-MM")
+    first_day = F.concat("period", F.lit("-01"))
+    return parts.groupBy("index", "timeframe").agg(
+        F.collect_set(F.when(monthly, first_day).cast("date")).alias("months_at_hand"),
+        F.collect_set(F.when(~monthly, F.col("period")).cast("date")).alias("days_at_hand"),
+    )

@@ -37,3 +37,15 @@ def frame(df) -> pd.DataFrame:
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def stages(node) -> list:
+    """Shuffle stages of a plan that has run, reused ones once."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return stages(node.executedPlan())
+    below = [stages(node.plan())] if name.endswith("QueryStageExec") else []
+    children = node.children()
+    below += [stages(children.apply(i)) for i in range(children.length())]
+    here = [node] if name == "ShuffleQueryStageExec" else []
+    return here + [stage for some in below for stage in some]

@@ -2,7 +2,7 @@ import random
 
 import pandas as pd
 import pytest
-from helpers import frame, full_bars, in_order, plan, series
+from helpers import frame, full_bars, in_order, plan, series, stages
 from pyspark.sql import functions as F
 
 from candlemill.operators import indicators, moving
@@ -136,3 +136,32 @@ def test_ema_over_many_blocks(spark):
     for span in (2, 9):
         got = frame(add_ema(bars, span))["in_EMA"]
         pd.testing.assert_series_equal(got, pandas_ema(bars, span), check_names=False, rtol=1e-8, atol=1e-9)
+
+
+def test_no_task_holds_a_whole_series(spark):
+    """Windows over all rows are hashed by chunk; what is hashed by series alone is a seam or one row per chunk."""
+    bars = full_bars(spark, [float(i % 17) for i in range(4000)])
+    df = indicators.add_rsi(bars, 14, chunk_days=30)
+    df.collect()
+    widths = {}
+    for node in stages(df._jdf.queryExecution().executedPlan()):
+        by_chunk = "__chunk" in node.outputPartitioning().toString()
+        rows = node.getRuntimeStatistics().rowCount().get()
+        widths[by_chunk] = max(widths.get(by_chunk, 0), rows)
+    assert widths == {True: 4000, False: 2 * 15 * 7}  # the 4000 hours touch seven spans of 30 days
+
+
+def test_ema_rows_move_once(spark):
+    """Also when the chunk starts are too many to broadcast."""
+    bars = full_bars(spark, [float(i % 17) for i in range(500)])
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        df = add_ema(bars, 5, chunk_days=2)
+        shuffles = plan(df).split("SortMergeJoin")[1].count("Exchange hashpartitioning")
+        assert shuffles == 4  # bars twice (the second for the summary), summaries by series, starts by chunk
+        got = frame(df)["in_EMA"]
+    finally:
+        spark.conf.set(threshold, before)
+    pd.testing.assert_series_equal(got, pandas_ema(bars, 5), check_names=False, rtol=1e-10)
