@@ -17,6 +17,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,6 +110,27 @@ _ARROW = pa.struct(
 )
 
 
+def _scanner(windows: Broadcast):
+    """Column function of the texts and the results of earlier blocks."""
+
+    @F.arrow_udf(_SCHEMA)
+    def scan(text: pa.Array, earlier: pa.Array) -> pa.Array:
+        parts = []
+        for start, some in byte_slices(text):
+            counts, spans, items = windows.value.scan(some)
+            rows = []
+            for n, s, i, old in zip(counts, spans, items, earlier.slice(start, len(some)).to_pylist(), strict=True):
+                if old:
+                    s, i = _joined([*s, *((x["first"], x["after"]) for x in old["spans"])]), i.union(old["items"])
+                rows.append(
+                    {"n_words": int(n), "spans": [{"first": a, "after": b} for a, b in s], "items": sorted(i)}
+                )
+            parts.append(pa.array(rows, _ARROW))
+        return pa.concat_arrays(parts) if parts else pa.array([], _ARROW)
+
+    return scan.asNondeterministic()
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -137,30 +159,9 @@ def find_leaks(
     for block in range(blocks):
         rows = texts.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         windows = context.broadcast(Windows([(r["item"], r["text"].encode()) for r in rows], window))
-
-        @F.arrow_udf(_SCHEMA)
-        def scan(text: pa.Array, earlier: pa.Array, windows=windows) -> pa.Array:
-            parts = []
-            for start, some in byte_slices(text):
-                counts, spans, items = windows.value.scan(some)
-                old = earlier.slice(start, len(some)).to_pylist()
-                rows = [
-                    {
-                        "n_words": int(n),
-                        "spans": [
-                            {"first": a, "after": b}
-                            for a, b in _joined([*s, *((x["first"], x["after"]) for x in (o or {}).get("spans", []))])
-                        ],
-                        "items": sorted(i.union((o or {}).get("items", []))),
-                    }
-                    for n, s, i, o in zip(counts, spans, items, old, strict=True)
-                ]
-                parts.append(pa.array(rows, _ARROW))
-            return pa.concat_arrays(parts) if parts else pa.array([], _ARROW)
-
         name = fresh(docs, f"{out}_{block}")
         earlier = F.lit(None).cast(_SCHEMA) if before is None else F.col(f"`{before}`")
-        docs = docs.withColumn(name, scan.asNondeterministic()(text_of(text_col), earlier))
+        docs = docs.withColumn(name, _scanner(windows)(text_of(text_col), earlier))
         if before is not None:
             docs = docs.drop(before)
         before = name
