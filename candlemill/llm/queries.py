@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate
+from . import bpe, chat, decontaminate, html_text
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,7 +22,18 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_turns(turns.unionByName(chat.control_conversation(spark))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op8_bpe": op8_bpe,
+    "op9_html": op9_html,
+    "op10_chat": op10_chat,
 }
