@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, html_text
+from . import bpe, chat, decontaminate, html_text, quality, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +18,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.report(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.report(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -33,6 +43,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_html": op9_html,
     "op10_chat": op10_chat,
