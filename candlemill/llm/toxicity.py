@@ -139,7 +139,7 @@ def _bags(names: list[str]):
     return run
 
 
-def fit(sample: DataFrame, steps: int = 400, rate: float = 0.15, ridge: float = 1e-3) -> Model:
+def fit(sample: DataFrame, steps: int = 300, rate: float = 0.15, ridge: float = 0.3) -> Model:
     """Gradient steps on the noisy-or likelihood of the sample's document labels.
 
     `sample` has columns text and label and is bounded (see `training_sample`); the
@@ -164,7 +164,7 @@ def fit(sample: DataFrame, steps: int = 400, rate: float = 0.15, ridge: float =
         slope = 1 - label - label / np.maximum(np.expm1(total), 1e-9)
         at = slope[doc] / (1 + np.exp(-z))
         grad = np.append(
-            np.bincount(feature, at[sentence], len(names)) / len(label) + ridge * weights,
+            np.bincount(feature, at[sentence], len(names)) / len(label) + ridge / len(label) * weights,
             (at.sum() + (slope * plain).sum() / (1 + np.exp(-bias))) / len(label),
         )
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
@@ -174,7 +174,7 @@ def fit(sample: DataFrame, steps: int = 400, rate: float = 0.15, ridge: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    return fit(training_sample(docs, labels, label_col, rows).persist(), steps=400)
+    return fit(training_sample(docs, labels, label_col, rows).persist())
 
 
 def score(docs: DataFrame, model: Model, out: str = "toxicity", text_col: str = "text") -> DataFrame:
