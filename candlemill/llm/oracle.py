@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import CONTAINMENT, SHINGLE_WORDS, TEMPLATES
+
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _OP5 = f"""
@@ -51,7 +53,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+_OP4_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+_OP4 = f"""
+WITH template AS (
+  SELECT license, list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS shingles, k
+  FROM (SELECT license, w, least({SHINGLE_WORDS}, len(w)) AS k
+        FROM (SELECT license, {_WORDS.format(text="text")} AS w FROM (VALUES {_OP4_TEMPLATES}) v(license, text)))
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents
+), place AS (
+  SELECT r, doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS shingle
+  FROM (SELECT r, doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM doc, (SELECT DISTINCT k FROM template) WHERE len(w) >= k)
+), hit AS (
+  SELECT p.r, p.doc_id, t.license, len(t.shingles) AS m, (p.i - 1) // len(t.shingles) AS block, p.shingle
+  FROM place p JOIN (SELECT license, k, shingles, unnest(shingles) AS shingle FROM template) t ON p.k = t.k AND p.shingle = t.shingle
+), held AS (
+  SELECT r, doc_id, license, m, q, count(DISTINCT shingle) / m AS containment
+  FROM (SELECT *, block AS q FROM hit UNION ALL SELECT *, block - 1 FROM hit WHERE block > 0)
+  GROUP BY r, doc_id, license, m, q
+)
+SELECT doc_id, license, count(*) AS n_windows, min(q * m)::BIGINT AS first_word, max(containment) AS containment
+FROM held WHERE containment >= {CONTAINMENT} GROUP BY doc_id, license
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_licenses": _OP4,
     "op5_decontaminate": _OP5,
     "op10_chat": _OP10,
 }

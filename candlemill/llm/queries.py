@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, embed_dups, html_text, quality, toxicity
+from . import bpe, chat, decontaminate, embed_dups, html_text, licenses, quality, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +17,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dups.find_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
@@ -47,6 +51,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
