@@ -9,12 +9,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bpe, decontaminate
+from candlemill.llm import bpe, decontaminate, near_dups, quality, toxicity
 from candlemill.llm.common import table
 from candlemill.llm.queries import VOCABULARY
 from candlemill.session import written
 
 
+def inoffensive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of low quality go."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return near_dups.keep_one(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
     return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -26,6 +41,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", inoffensive),
+    ("quality", good),
+    ("near-dedup", deduplicated),
     ("decontamination", decontaminated),
     ("bpe", encoded),
 ]
