@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, embed_dups, html_text, licenses, near_dups, quality, toxicity
+from . import bpe, chat, decontaminate, embed_dups, html_text, licenses, near_dups, quality, suffix_tree, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +17,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.classes(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.report(table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dups.find_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
