@@ -13,9 +13,10 @@ samples make buckets: at similarity 0.8 some band agrees with probability 0.9998
 
 Buckets are not expanded into pairs. Members are paired with two hubs of their bucket;
 each document's most promising pair is verified by exact weighted Jaccard similarity,
-then the pairs that still join different classes; then buckets with several classes get other
-hubs, until no round finds a link. Every round is linear in the memberships. Verification streams texts past
-their hub, dealt to many tasks, so that a hub may have any number of partners.
+then the pairs that still join different classes. Then, in buckets of several classes, the members
+outside the largest class are compared with all others, so that no link inside a bucket is lost.
+Verification streams texts past a few others that are held, dealt to many tasks: a
+document may have any number of partners, and only links leave a task.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ BANDS, ROWS = 16, 4
 STRENGTH, RARE = 0.25, 0.005
 BROADCAST_IDS = 1_000_000
 _DEALT = 256  # tasks the partners of one hub are dealt to at most
+_HELD = 64  # texts that others stream past
 _SUMMARY = 4_000_000  # shingles behind one summary
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,7 +72,7 @@ def shingle_hashes(texts: list[bytes], size: int = WORDS) -> tuple[np.ndarray, n
     for i in range(size):
         # Word i of the shingle that begins here; words beyond a short text are zero.
         shifted = np.zeros(len(flat), np.uint64)
-        shifted[: len(flat) - i] = flat[i:]
+        shifted[: max(0, len(flat) - i)] = flat[i:]
         shifted[place + i >= counts[owner]] = 0
         rolled = (rolled ^ shifted) * _MIX
         rolled ^= rolled >> np.uint64(32)
@@ -264,6 +266,57 @@ def _checked(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataF
     return written(rows.mapInArrow(_verify(weights, least), "a bigint, b bigint"), "links")
 
 
+def _strays(weights, least: float):
+    """Rows sorted by bucket and part, the held ones first: links between different classes.
+
+    Two documents are compared in the first band in which they agree.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, bands = None, [], np.zeros((0, 0), np.int64)
+        for batch, start, some in _texts(batches):
+            part = batch.slice(start, len(some)).to_pydict()
+            hashes, counts, number = distinct_shingles(some)
+            values, ends = weights.value.of(hashes, counts), np.cumsum(number)
+            good = []
+            for i, here in enumerate(zip(part["bucket"], part["part"], strict=True)):
+                mine = slice(ends[i] - number[i], ends[i])
+                own, own_bands = (hashes[mine], values[mine]), np.array(part["buckets"][i])
+                if here != key:
+                    key, held, bands = here, [], np.zeros((0, len(own_bands)), np.int64)
+                if part["role"][i] == 0:
+                    held.append((part["id"][i], part["class"][i], own))
+                    bands = np.concatenate([bands, own_bands[None]])
+                    continue
+                first = (bands == own_bands).argmax(axis=1)
+                for k in np.flatnonzero(own_bands[first] == here[0]):
+                    other, label, its = held[k]
+                    if label != part["class"][i] and similarity(its, own) >= least:
+                        good.append((part["id"][i], other))
+            yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _leftover_links(members: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
+    """Links between members of a bucket that are still in different classes."""
+    known = labels.select(F.col("vertex").alias("id"), "component")
+    classed = members.join(known, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("class"))
+    sizes = classed.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("strays"), F.count("*").alias("classes")
+    )
+    mixed = mixed.where("classes > 1").select("bucket", "largest", F.ceil(F.col("strays") / _HELD).cast("int").alias("parts"))
+    rows = written(classed.join(mixed, "bucket"), "mixed")
+    held = rows.where("class <> largest").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    streamed = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    every = held.withColumn("role", F.lit(0)).unionByName(streamed.withColumn("role", F.lit(1)))
+    bands = signed.join(rows.select("id").distinct(), "id", "left_semi").select("id", "buckets").dropDuplicates(["id"])
+    every = every.join(bands, "id").join(texts, "id").select("id", "bucket", "part", "role", "class", "buckets", "text")
+    ordered = every.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "role", "id")
+    return written(ordered.mapInArrow(_strays(weights, least), "a bigint, b bigint"), "leftover-links")
+
+
 def classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -288,43 +341,26 @@ def classes(
     same = signed.select("id", "digest").join(copies, "digest").select(F.col("id").alias("a"), F.col("first").alias("b"))
     same = written(same, "same-text")
     firsts = same.where("a = b").select(F.col("a").alias("id")).distinct()
-    members = written(
-        signed.join(firsts, "id", "left_semi").select("id", F.explode("buckets").alias("bucket")).distinct(), "members"
-    )
+    members = signed.join(firsts, "id", "left_semi").select("id", F.explode("buckets").alias("bucket")).distinct()
 
-    def starred(members: DataFrame, salts: tuple[int, ...]) -> DataFrame:
-        """Each member with one hub of its bucket for each salt; a hub is the member with the smallest salted hash."""
-        chosen = [F.min_by("id", F.xxhash64("id", F.lit(s))).alias(f"h{s}") for s in salts]
-        hubs = members.groupBy("bucket").agg(F.count("*").alias("n"), *chosen).where("n > 1").drop("n")
-        return (
-            members.join(hubs, "bucket")
-            .select("id", F.explode(F.array(*[f"h{s}" for s in salts])).alias("hub"))
-            .where("id <> hub")
-            .groupBy("id", "hub")
-            .agg(F.count("*").alias("met"))
-        )
-
-    pairs = written(starred(members, (0, 1)), "pairs")
+    hubs = members.groupBy("bucket").agg(F.count("*").alias("n"), *[F.min_by("id", F.xxhash64("id", F.lit(s))).alias(f"h{s}") for s in (0, 1)])
+    members = written(members.join(hubs.where("n > 1").drop("n"), "bucket"), "shared-buckets")
+    met = members.select("id", F.explode(F.array("h0", "h1")).alias("hub")).where("id <> hub")
+    pairs = written(met.groupBy("id", "hub").agg(F.count("*").alias("met")), "pairs")
+    members = members.select("id", "bucket")
     involved = pairs.select(F.col("id")).union(pairs.select("hub")).distinct()
     if pairs.count() <= BROADCAST_IDS:
         involved = F.broadcast(involved)
     texts = written(named.join(involved, "id", "left_semi"), "texts")
     best = written(pairs.groupBy("id").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub")), "best")
     links = _checked(best, texts, weights, least)
-    tested, salt = best, 2
-    candidates = pairs.select("id", "hub")
-    while True:
-        labels = written(components(links), "labels")
-        of_id, of_hub = (labels.select(F.col("vertex").alias(c), F.col("component").alias(f"{c}_class")) for c in ("id", "hub"))
-        apart = F.coalesce("id_class", "id") != F.coalesce("hub_class", "hub")
-        open_ = candidates.join(tested, ["id", "hub"], "left_anti").join(of_id, "id", "left").join(of_hub, "hub", "left")
-        open_ = written(open_.where(apart).select("id", "hub"), "open")
-        new = _checked(open_, texts, weights, least) if not open_.isEmpty() else None
-        if new is None or new.isEmpty():
-            break
-        links, tested = links.unionByName(new), tested.unionByName(open_)
-        candidates = starred(members, (salt, salt + 1)).select("id", "hub")
-        salt += 2
+    labels = written(components(links), "labels")
+    of_id, of_hub = (labels.select(F.col("vertex").alias(c), F.col("component").alias(f"{c}_class")) for c in ("id", "hub"))
+    apart = F.coalesce("id_class", "id") != F.coalesce("hub_class", "hub")
+    open_ = pairs.select("id", "hub").join(best, ["id", "hub"], "left_anti").join(of_id, "id", "left").join(of_hub, "hub", "left")
+    links = written(links.unionByName(_checked(written(open_.where(apart).select("id", "hub"), "open"), texts, weights, least)), "links")
+    labels = written(components(links), "labels")
+    links = links.unionByName(_leftover_links(members, labels, signed, texts, weights, least))
     joined = components(links.unionByName(same)).withColumnRenamed("vertex", "id")
     found = every.select("id").join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("class_id"))
     return found.select(
