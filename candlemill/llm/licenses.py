@@ -81,14 +81,14 @@ def _windows(hashes: str, length: int, number: int) -> Column:
     """Two neighbouring blocks each, with the number of the class and the first word of the first block."""
     blocks = F.ceil(F.size(hashes) / length).cast("int")
     made = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
+        F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1),
         lambda q: F.struct(
             F.lit(number).alias("class"),
             (q * length).alias("first_word"),
             F.slice(hashes, q * length + 1, F.lit(2 * length)).alias("hashes"),
         ),
     )
-    return F.when(F.size(hashes) > 0, made).otherwise(F.filter(made, lambda w: F.lit(False)))
+    return F.filter(made, lambda w: F.size(w["hashes"]) > 0)
 
 
 def _once(value: Column) -> Column:
