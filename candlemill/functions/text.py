@@ -66,11 +66,11 @@ def exchange_of(asset_id: Column | str) -> Column:
 
 
 def request_fields(symbol: Column, exchange: Column, priority: Column, corrupt: Column) -> dict[str, Column]:
-    """Checked fields of a decoded request: priority as a number of 0..10, and `valid`."""
+    """Checked fields of a decoded request: priority as the number that was sent, and `valid`."""
     number = priority.try_cast("int")
     known = symbol.isNotNull() & exchange.isNotNull() & number.isNotNull()
     return {
-        "priority": F.when(number.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), number))),
+        "priority": number,
         "valid": known & corrupt.isNull(),
     }
 

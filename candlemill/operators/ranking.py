@@ -6,14 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from candlemill.functions.text import MAX_PRIORITY
 from candlemill.session import written
 
 _ROW_BITS = 33  # of monotonically_increasing_id: partition above, row in the partition below
 
 
 def by_priority(requests: DataFrame, arrival: Sequence[str] = ("arrival",)) -> DataFrame:
-    """Requests in order of service: higher priority first, then by arrival."""
-    return requests.orderBy(F.desc("priority"), *arrival)
+    """Requests in order of service: higher priority first, then by arrival.
+
+    Priorities below 0 and above 10 rank as 0 and 10; the column keeps what was sent.
+    """
+    rank = F.greatest(F.lit(0), F.least(F.lit(MAX_PRIORITY), F.col("priority")))
+    return requests.orderBy(F.desc(rank), *arrival)
 
 
 def with_service_position(requests: DataFrame, arrival: Sequence[str] = ("arrival",)) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from candlemill.functions.temporal import calendar_columns
 from candlemill.operators.dedup import dedup_bars, upsert_replace
@@ -22,6 +22,10 @@ def _one_each(bars: DataFrame) -> DataFrame:
     return dedup_bars(bars, ["index", "cuote_timestamp"], "period").withColumns(calendar_columns())
 
 
+def _loadable() -> Column:
+    return F.col("index").isNotNull() & F.col("cuote_timestamp").isNotNull() & is_newer()
+
+
 def _metric(seen: Observation, name: str) -> int | None:
     """NULL if Spark found a stage empty at run time and cut the observed part from its plan."""
     try:
@@ -35,20 +39,22 @@ def load_incremental(
 ) -> dict[str, int]:
     """Append the bars newer than the mark of their symbol, all symbols in one job.
 
-    `symbols`, if given, has to name every symbol in `bars`; then only their marks
-    are read, which pays when a few of many stored symbols are loaded.
+    With `symbols` only their bars are loaded and only their marks are read, which
+    pays when a few of many stored symbols are loaded.
 
-    Bars at or before the mark are dropped before anything is shuffled. Running it
-    twice, or again after a failure, adds nothing. Returns the numbers of `loaded`
-    bars and of `dropped` (late) records.
+    Bars at or before the mark, and bars without symbol or time, which no mark could ever
+    hold back, are dropped before anything is shuffled. Running it twice, or again after a
+    failure, adds nothing. Returns the numbers of `loaded` bars and of `dropped` records.
     """
     late, fresh = Observation(), Observation()
+    if symbols is not None:
+        bars = bars.join(symbols.select("index").distinct(), "index", "left_semi")
     marked = with_marks(bars, store.marks(timeframe, symbols))
-    newer = marked.observe(late, F.count_if(~is_newer()).alias("n")).where(is_newer()).drop(MARK)
+    newer = marked.observe(late, F.count_if(~_loadable()).alias("n")).where(_loadable()).drop(MARK)
     store.append(timeframe, _one_each(newer).observe(fresh, F.count(F.lit(1)).alias("n")))
     loaded, dropped = _metric(fresh, "n") or 0, _metric(late, "n")
     if dropped is None:  # nothing was loaded, so the marks are still the same
-        dropped = marked.where(~is_newer()).count()
+        dropped = marked.where(~_loadable()).count()
     return {"loaded": loaded, "dropped": dropped}
 
 

@@ -131,6 +131,13 @@ def _backfill() -> str:
 ORACLE: dict[str, str] = {
     "bars_from_events": f"SELECT timeframe, {_BAR} FROM ({_all(_events)})",
     "stream_bars": _HOURLY,
+    "stream_bars_late": _HOURLY,
+    "load_accounting": """SELECT CAST(run AS INTEGER) AS run, CASE WHEN run = 1 THEN bars ELSE 0 END AS loaded,
+          CASE WHEN run = 1 THEN views ELSE records + views END AS dropped, bad, bars AS stored
+        FROM (SELECT count(*) FILTER (event_type IN ('click', 'error')) AS bad, count(*) FILTER (event_type = 'view') AS views,
+                count(*) FILTER (event_type NOT IN ('click', 'error')) AS records,
+                count(DISTINCT (event_type, date_trunc('second', ts))) FILTER (event_type NOT IN ('click', 'error')) AS bars
+              FROM events), (SELECT unnest([1, 2, 3]) AS run)""",
     "moving_average": _window(f"avg(cuote_close) OVER {_frame(14)}"),
     "price_change": _window(f"last_value(cuote_close) OVER {_frame(1)} - first_value(cuote_close) OVER {_frame(1)}"),
     "moving_stddev": _window(f"stddev_samp(cuote_close) OVER {_frame(20)}"),

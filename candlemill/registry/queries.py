@@ -276,7 +276,7 @@ def bad_rows(spark, sf_dir):
     short = F.concat_ws(",", "event_type", "event_id")
     line = F.when(F.col("event_type") == "error", short).otherwise(good)
     events.select(line.alias("value")).write.text(f"{folder}/lines")
-    bad = csv_bars.bad_rows(csv_bars.read_records(spark, f"{folder}/lines"))
+    bad = csv_bars.bad_rows(csv_bars.read_records(spark, f"{folder}/lines"), "all", "1h")
     return bad.select(F.col(CORRUPT).alias("line"))
 
 
@@ -611,5 +611,41 @@ def stream_bars(spark, sf_dir):
     return _bars_out(bar_stream.read_bar_updates(spark, f"{base}/log"))
 
 
+@query
+def stream_bars_late(spark, sf_dir):
+    """Hourly bars from three files of events, the newest first and one per batch."""
+    base = scratch_dir(spark, "late-bars")
+    events = table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    for part in (day > 20, (day > 10) & (day <= 20), day <= 10):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    bars = bar_stream.stream_bars_from_events(stream, "event_type", "ts", "value", "1h")
+    bar_stream.write_bar_updates(bars, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    return _bars_out(bar_stream.read_bar_updates(spark, f"{base}/log"))
+
+
+@query
+def load_accounting(spark, sf_dir):
+    """The same records loaded three times: some of a file without an archive name, some malformed, some without symbol."""
+    base = scratch_dir(spark, "accounting")
+    events = table(spark, sf_dir, "events")
+    good = F.concat_ws(
+        ",", F.unix_millis(F.col("ts").cast("timestamp")), *["value"] * 5, F.lit("0"), F.lit("0"), F.lit("1"), *[F.lit("0")] * 3
+    )
+    line = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(good).alias("line")
+    named = F.col("event_type").isin("click", "error")
+    name = F.when(named, "unnamed.csv").otherwise(F.concat("event_type", F.lit("-1h-2024-01.csv"))).alias("file_name")
+    records = csv_bars.records_of_lines(events.select(line, name))
+    bad = csv_bars.bad_rows(records).count()
+    bars = csv_bars.as_bars(records)
+    bars = bars.unionByName(bars.where("index = 'view'").withColumn("index", F.lit(None).cast("string")))
+    store, rows = PathStore(spark, f"{base}/tables"), []
+    for run in (1, 2, 3):
+        counts = load.load_incremental(store, bars, "1h")
+        rows.append((run, counts["loaded"], counts["dropped"], bad, store.read("1h").count()))
+    return spark.createDataFrame(rows, "run int, loaded bigint, dropped bigint, bad bigint, stored bigint")
+
+
 def names() -> Sequence[str]:
     return sorted(QUERIES)

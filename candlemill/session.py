@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,13 @@ def use_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's shared `spark.checkpoint.dir`.
 
-    Only a session without that setting (a laptop, a test) gets a local folder.
-    The folder is dropped by the file system when the driver ends.
+    Only a local session without that setting (a laptop, a test) gets a local folder;
+    a cluster has to name a shared one. The folder is dropped by the file system when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     path = f"{base.rstrip('/')}/candlemill-{label}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,22 +16,34 @@ _LINES_PER_BATCH = 20_000
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines of the CSV members, in batches of bounded size."""
+    """Lines of the CSV members, in batches of bounded size.
+
+    An archive that can't be read, to its end or at all, or holds no CSV, gives a line that says so,
+    which is no record and so becomes a bad row under the archive's name.
+    """
     for batch in batches:
         for name, content in zip(batch["file_name"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.namelist():
-                    if not member.endswith(".csv"):
-                        continue
-                    with archive.open(member) as raw:
-                        lines: list[str] = []
-                        for line in io.TextIOWrapper(raw, encoding="utf-8"):
-                            lines.append(line.rstrip("\r\n"))
-                            if len(lines) == _LINES_PER_BATCH:
-                                yield pd.DataFrame({"file_name": name, "line": lines})
-                                lines = []
-                        if lines:
-                            yield pd.DataFrame({"file_name": name, "line": lines})
+            try:
+                yield from _lines(name, content)
+            except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, NotImplementedError, RuntimeError) as e:
+                yield pd.DataFrame({"file_name": [name], "line": [f"unreadable archive: {type(e).__name__}"]})
+
+
+def _lines(name: str, content: bytes) -> Iterator[pd.DataFrame]:
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        members = [m for m in archive.namelist() if m.endswith(".csv")]
+        if not members:
+            yield pd.DataFrame({"file_name": [name], "line": ["archive without a CSV member"]})
+        for member in members:
+            with archive.open(member) as raw:
+                lines: list[str] = []
+                for line in io.TextIOWrapper(raw, encoding="utf-8"):
+                    lines.append(line.rstrip("\r\n"))
+                    if len(lines) == _LINES_PER_BATCH:
+                        yield pd.DataFrame({"file_name": name, "line": lines})
+                        lines = []
+                if lines:
+                    yield pd.DataFrame({"file_name": name, "line": lines})
 
 
 def read_zip_records(spark: SparkSession, path: str, since_period: str | None = None) -> DataFrame:

@@ -39,17 +39,23 @@ def records_of_lines(lines: DataFrame) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # inline() keeps later filters above the parser, so a line is parsed once.
     fields = F.inline(F.array(F.from_csv("line", _DDL, options)))
-    parsed = lines.where(F.length(F.trim("line")) > 0).select(fields, archive_split("file_name").alias("__name"))
+    parsed = lines.where(F.length(F.trim("line")) > 0).select("file_name", fields, archive_split("file_name").alias("__name"))
     return parsed.withColumns(archive_fields("__name")).drop("__name")
 
 
-def is_bad() -> Column:
-    return F.col("cuote_opentime").isNull() | F.col(CORRUPT).isNotNull()
+def is_bad(index: str | None = None, timeframe: str | None = None) -> Column:
+    """A record that makes no bar; without symbol or timeframe in the file's name, unless they are given."""
+    bad = F.col("cuote_opentime").isNull() | F.col(CORRUPT).isNotNull()
+    for name, given in (("index", index), ("timeframe", timeframe)):
+        bad = bad if given is not None else bad | F.col(name).isNull()
+    return bad
 
 
-def bad_rows(records: DataFrame) -> DataFrame:
-    """Records kept out of the bars: header lines, bad fields, short rows, no open time."""
-    return records.where(is_bad())
+def bad_rows(records: DataFrame, index: str | None = None, timeframe: str | None = None) -> DataFrame:
+    """Records kept out of the bars, with file name and `reason`: header lines, bad fields, short
+    rows, no open time (`record`), or no symbol or timeframe in the file's name (`name`)."""
+    unreadable = is_bad("", "")
+    return records.where(is_bad(index, timeframe)).withColumn("reason", F.when(unreadable, "record").otherwise("name"))
 
 
 def as_bars(records: DataFrame, index: str | None = None, timeframe: str | None = None) -> DataFrame:
@@ -57,7 +63,7 @@ def as_bars(records: DataFrame, index: str | None = None, timeframe: str | None
 
     `index` and `timeframe` override what the file name says.
     """
-    bars = records.where(~is_bad()).withColumn("cuote_timestamp", epoch_to_timestamp("cuote_opentime"))
+    bars = records.where(~is_bad(index, timeframe)).withColumn("cuote_timestamp", epoch_to_timestamp("cuote_opentime"))
     if index is not None:
         bars = bars.withColumn("index", F.lit(index))
     if timeframe is not None:

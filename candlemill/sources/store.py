@@ -300,11 +300,18 @@ def _literal(value: object) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def read_table(spark: SparkSession, name: str, format: str = "parquet", **options) -> DataFrame:
-    """A whole table or collection by path or catalogue name, from any installed format."""
+def read_table(
+    spark: SparkSession, name: str, format: str = "parquet", schema: T.StructType | str | None = None, **options
+) -> DataFrame:
+    """A whole table or collection by path or catalogue name, from any installed format.
+
+    Give a `schema` where partition values look like numbers: a symbol `0123` is read as 123 without.
+    """
+    reader = spark.read.format(format).options(**options)
+    reader = reader if schema is None else reader.schema(schema)
     if "/" in name:
-        return spark.read.format(format).options(**options).load(name)
+        return reader.load(name)
     try:
         return spark.table(name)
     except AnalysisException:
-        return spark.read.format(format).options(**options).load(name)
+        return reader.load(name)

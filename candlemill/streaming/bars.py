@@ -14,16 +14,22 @@ _KEYS = ["index", "timeframe", "cuote_timestamp"]
 
 
 def stream_bars_from_events(
-    events: DataFrame, index: str, ts: str, value: str, timeframe: str, lateness: str = "1 hour"
+    events: DataFrame, index: str, ts: str, value: str, timeframe: str, lateness: str | None = None
 ) -> DataFrame:
-    """Streaming twin of `bars_from_events`; the watermark lets Spark forget closed bars."""
+    """Streaming twin of `bars_from_events`.
+
+    Every event counts, however late: state then holds one row per bar. With
+    `lateness` Spark forgets bars older than that, and drops events that come later still.
+    """
     length = f"{MINUTES[timeframe]} minutes"
     offset = "4 days" if timeframe == "1w" else "0 minutes"  # 1970-01-05 was a Monday
     rows = events.select(
         F.col(index).cast("string").alias("index"),
         F.col(ts).cast("timestamp").alias("ts"),
         F.col(value).alias("value"),
-    ).withWatermark("ts", lateness)
+    )
+    if lateness is not None:
+        rows = rows.withWatermark("ts", lateness)
     bars = rows.groupBy("index", F.window("ts", length, length, offset).alias("w")).agg(
         *ohlcv(F.col("ts"), F.col("value"))
     )

@@ -57,6 +57,23 @@ def test_marks_of_some_symbols(spark, store):
     assert load_incremental(store, full_bars(spark, [4.0, 5.0], "B"), "1h", wanted) == {"loaded": 1, "dropped": 1}
 
 
+def test_bars_of_other_symbols_are_not_loaded(spark, store):
+    bars = full_bars(spark, [1.0, 2.0]).unionByName(full_bars(spark, [4.0], "B"))
+    wanted = spark.createDataFrame([("B",), ("B",)], "`index` string")
+    assert load_incremental(store, bars, "1h", wanted) == {"loaded": 1, "dropped": 0}
+    assert load_incremental(store, bars, "1h", wanted) == {"loaded": 0, "dropped": 1}
+    assert [c for *_, c in content(store)] == [4.0]
+
+
+def test_bars_without_symbol_or_time_are_never_loaded(spark, store):
+    bars = full_bars(spark, [1.0, 2.0])
+    bars = bars.unionByName(bars.withColumn("index", F.lit(None).cast("string")))
+    bars = bars.unionByName(full_bars(spark, [3.0], "B").withColumn("cuote_timestamp", F.lit(None).cast("timestamp")))
+    assert load_incremental(store, bars, "1h") == {"loaded": 2, "dropped": 3}
+    assert load_incremental(store, bars, "1h") == {"loaded": 0, "dropped": 5}
+    assert [c for *_, c in content(store)] == [1.0, 2.0]
+
+
 def test_empty_input(spark, store):
     assert load_incremental(store, full_bars(spark, [1.0]).where("false"), "1h") == {"loaded": 0, "dropped": 0}
     load_incremental(store, full_bars(spark, [1.0]), "1h")
@@ -205,9 +222,9 @@ def test_upsert(spark):
 
 
 def test_service_order(spark):
-    rows = [(i, i % 4, START + timedelta(seconds=i // 5)) for i in range(200)]
+    rows = [(i, (i % 4) * 4 - 1, START + timedelta(seconds=i // 5)) for i in range(200)]
     df = spark.createDataFrame(rows, "id int, priority int, arrival timestamp").repartition(7)
-    expected = [r[0] for r in sorted(rows, key=lambda r: (-r[1], r[2], r[0]))]
+    expected = [r[0] for r in sorted(rows, key=lambda r: (-min(max(r[1], 0), 10), r[2], r[0]))]
     placed = with_service_position(df, ["arrival", "id"]).orderBy("position").collect()
     assert [r.id for r in placed] == expected and [r.position for r in placed] == list(range(1, 201))
     assert [r.id for r in by_priority(df, ["arrival", "id"]).collect()] == expected

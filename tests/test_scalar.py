@@ -117,7 +117,7 @@ def test_archive_names(spark):
     [
         ('{"symbol":"A","exchange":"binance","priority":3}', ("A", "binance", 3, True)),
         ('{"symbol":"A","exchange":"binance","priority":"7"}', ("A", "binance", 7, True)),
-        ('{"symbol":"A","exchange":"binance","priority":99}', ("A", "binance", 10, True)),
+        ('{"symbol":"A","exchange":"binance","priority":99}', ("A", "binance", 99, True)),
         ('{"symbol":"A","priority":3}', ("A", None, 3, False)),
         ('{"symbol":"A","exchange":"b","priority":"x"}', ("A", "b", None, False)),
     ],

@@ -30,6 +30,31 @@ def test_csv_scan(spark, folder):
     assert (named["index"], named.timeframe) == ("X", "4h")
 
 
+def test_records_of_unnamed_files_are_bad(spark, folder):
+    put(folder, "btc.csv", GOOD, "x")
+    records = csv_bars.read_records(spark, folder)
+    bad = sorted((r.file_name, r.reason) for r in csv_bars.bad_rows(records).collect())
+    assert bad == [("btc.csv", "name"), ("btc.csv", "record")]
+    assert csv_bars.as_bars(records).count() == 0
+    assert csv_bars.as_bars(records, "BTC", "1h").count() == 1 == csv_bars.bad_rows(records, "BTC", "1h").count()
+
+
+def test_unreadable_archives_are_bad_rows(spark, folder):
+    put(folder, "A-1d-2025-01.zip", "not a zip")
+    for name, member in (("B-1d-2025-01", "B.csv"), ("C-1d-2025-01", "C.txt")):
+        with zipfile.ZipFile(os.path.join(local_path(folder), f"{name}.zip"), "w") as out:
+            out.writestr(member, GOOD + "\n")
+    records = archives.read_zip_records(spark, folder)
+    bad = sorted((r.file_name, r.reason) for r in csv_bars.bad_rows(records).collect())
+    assert bad == [("A-1d-2025-01.zip", "record"), ("C-1d-2025-01.zip", "record")]
+    assert [r["index"] for r in csv_bars.as_bars(records).collect()] == ["B"]
+
+
+def test_table_with_a_schema_keeps_number_like_symbols(spark, folder):
+    spark.createDataFrame([("0123", 1.0)], "`index` string, v double").write.partitionBy("index").parquet(f"{folder}/t")
+    assert read_table(spark, f"{folder}/t", schema="v double, `index` string").first()["index"] == "0123"
+
+
 def test_bad_rows_whatever_the_columns(spark, folder):
     put(folder, "BTC-1h.csv", "open_time,open", GOOD, "bad" + GOOD[16:], GOOD.replace("10.0", "ten"), "1735689600123456,1.0", "," + GOOD[17:])
     records = csv_bars.read_records(spark, folder)

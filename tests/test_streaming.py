@@ -116,3 +116,16 @@ def test_streamed_bars_equal_batch(spark, folder, timeframe):
     streamed = read_bar_updates(spark, f"{folder}/log")
     batch = bars_from_events(events, "kind", "ts", "value", timeframe)
     assert sorted(map(tuple, streamed.select(batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_late_events_count_unless_a_lateness_is_given(spark, folder):
+    rows = [(START + timedelta(hours=h), "A", 1.0) for h in (100, 50, 1)]
+    for i, row in enumerate(rows):
+        events = spark.createDataFrame([row], "ts timestamp, kind string, value double")
+        events.write.mode("append").parquet(f"{folder}/in")
+        for name, lateness in (("all", None), ("some", "1 hour")):
+            stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+            bars = stream_bars_from_events(stream, "kind", "ts", "value", "1h", lateness)
+            write_bar_updates(bars, f"{folder}/{name}", f"{folder}/checkpoint-{name}").awaitTermination()
+    assert read_bar_updates(spark, f"{folder}/all").count() == 3
+    assert read_bar_updates(spark, f"{folder}/some").count() == 1

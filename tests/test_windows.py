@@ -151,7 +151,7 @@ def test_no_task_holds_a_whole_series(spark):
     assert widths == {True: 4000, False: 2 * 15 * 7}  # the 4000 hours touch seven spans of 30 days
 
 
-def test_ema_rows_move_once(spark):
+def test_ema_shuffles(spark):
     """Also when the chunk starts are too many to broadcast."""
     bars = full_bars(spark, [float(i % 17) for i in range(500)])
     threshold = "spark.sql.autoBroadcastJoinThreshold"
