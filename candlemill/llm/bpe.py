@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, text_of
 
 MAX_VOCABULARY = 1_000_000
-CACHED_WORDS = 300_000  # per Python worker; the cache is emptied when full
+CACHED_WORDS = 200_000  # per Python worker; the cache is emptied when full
 _NEVER = np.int64(1) << 40
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20  # texts handled at once inside a task
+SLICE_BYTES = 2 << 20  # texts handled at once inside a task
 
 # Bytes that are no word characters become spaces, A-Z become a-z; bytes above 0x7F stay.
 WORD_BYTES = bytes(

@@ -41,15 +41,15 @@ STRENGTH, RARE = 0.25, 0.005
 BROADCAST_IDS = 1_000_000
 _DEALT = 256  # tasks the partners of one hub are dealt to at most
 _HELD = 64  # texts that others stream past
-_SUMMARY = 4_000_000  # shingles behind one summary
+_SUMMARY = 1_000_000  # shingles behind one summary
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
-    """Word hashes; emptied when it holds half a million words."""
+    """Word hashes; emptied when it holds 150,000 words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value

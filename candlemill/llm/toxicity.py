@@ -67,7 +67,7 @@ class Model:
         for w in set(found).difference(known):
             known[w] = sum(self.weights.get(f, 0.0) for f in features(w))
         values = np.fromiter(map(known.__getitem__, found), np.float64, len(found))
-        if len(known) > 500_000:
+        if len(known) > 150_000:
             self.__post_init__()
         ends = np.isnan(values)
         number = np.cumsum(ends) - ends
