@@ -11,7 +11,7 @@ from candlemill.functions.temporal import calendar_columns
 from candlemill.operators.dedup import dedup_bars, upsert_replace
 from candlemill.operators.marks import MARK, is_newer, with_marks
 from candlemill.schema import TIMEFRAMES, partition_columns
-from candlemill.session import written
+from candlemill.session import staged, written
 from candlemill.sources.store import BarStore
 
 
@@ -67,13 +67,15 @@ def load_all_timeframes(
     """`load_incremental` for every timeframe.
 
     Give a mapping of timeframe to its bars when each has its own files, so that
-    every job reads only those. A single DataFrame is read once per timeframe.
+    every job reads only those. A single DataFrame is computed once and staged by
+    timeframe; bars of none of the timeframes, if any, are counted as dropped under `other`.
     """
-    counts = {}
-    for timeframe in timeframes:
-        rows = bars[timeframe] if isinstance(bars, Mapping) else bars.where(F.col("timeframe") == timeframe)
-        counts[timeframe] = load_incremental(store, rows, timeframe, symbols)
-    return counts
+    if isinstance(bars, Mapping):
+        return {t: load_incremental(store, bars[t], t, symbols) for t in timeframes}
+    with staged(bars, "timeframes", "timeframe") as rows:
+        counts = {t: load_incremental(store, rows.where(F.col("timeframe") == t), t, symbols) for t in timeframes}
+        other = rows.where(F.col("timeframe").isNull() | ~F.col("timeframe").isin(*timeframes)).count()
+    return counts | ({"other": {"loaded": 0, "dropped": other}} if other else {})
 
 
 def full_reload(store: BarStore, bars: DataFrame, timeframe: str) -> None:
@@ -84,8 +86,9 @@ def full_reload(store: BarStore, bars: DataFrame, timeframe: str) -> None:
     """
     keys = list(partition_columns(timeframe))
     before = written(store.partitions(timeframe), "before")
-    after = written(bars.withColumns(calendar_columns()).select(*keys).distinct(), "after")
-    store.overwrite_partitions(timeframe, _one_each(bars))
+    with staged(_one_each(bars), "reload") as rows:
+        after = written(rows.select(*keys).distinct(), "after")
+        store.overwrite_partitions(timeframe, rows)
     symbols = after.select("index").distinct()
     stale = before.join(symbols, "index", "left_semi").join(after, keys, "left_anti")
     store.drop_partitions(timeframe, stale)

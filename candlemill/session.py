@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession, label)}/data"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, *partition_by: str) -> Iterator[DataFrame]:
+    """`written`, split into folders by the given columns, for as long as the block runs."""
+    spark = df.sparkSession
+    folder = scratch_dir(spark, label)
+    df.write.partitionBy(*partition_by).parquet(f"{folder}/data")
+    try:
+        yield spark.read.schema(df.schema).parquet(f"{folder}/data")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
