@@ -112,8 +112,13 @@ def tree_paths(node, path: Path = ()) -> list[Path]:
 
 
 def fit(sample: DataFrame, trees: int = 20, depth: int = 3, penalty: float = 2e-4, seed: int = 7) -> Rules:
-    """Rules for the sample's (text, label) rows. With one label only, the score is its share for every text."""
-    rows = written(with_statistics(sample, "statistics").select("statistics", "label"), "quality-sample")
+    """Rules for the sample's (text, label) rows. With one label only, the score is its share for every text.
+
+    The statistics of the bounded sample are sorted into one file, so that the rules don't
+    depend on how the documents lie in partitions.
+    """
+    rows = with_statistics(sample, "statistics").select("statistics", "label")
+    rows = written(rows.repartition(1).sortWithinPartitions("statistics", "label"), "quality-sample")
     total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).head()
     if ones in (0, total):
         return Rules(intercept=float(np.log((ones + 0.5) / (total - ones + 0.5))))
