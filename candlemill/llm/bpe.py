@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, text_of
 
 MAX_VOCABULARY = 1_000_000
-CACHED_WORDS = 200_000  # per Python worker; the cache is emptied when full
+CACHED_WORDS = 300_000  # per Python worker; the cache is emptied when full
 _NEVER = np.int64(1) << 40
 
 
@@ -221,10 +221,9 @@ class Bpe:
         return proposed
 
     def normal(self, text: str) -> str:
-        """NFC, white space as single spaces, each character lower-cased by itself."""
+        """NFC, each character lower-cased by itself; what white space there is makes no difference to the words."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-            text = regex.sub(r"\s+", " ", text)
             # A final sigma depends on its neighbours in str.lower, which works on whole words.
             return text.replace("Σ", "σ").lower()
         return text.lower()
@@ -254,15 +253,17 @@ class Bpe:
         """Token count, ids joined by spaces and decoded text of each text."""
         plain = [not any(s in t for s in self.special) for t in texts]
         cut = [self.pattern.findall(self.normal(t)) if p else self.pieces(t) for t, p in zip(texts, plain, strict=True)]
-        self.learn({w for c, p in zip(cut, plain, strict=True) for w in (c if p else [x for s, x in c if not s])})
+        self.learn(set().union(*(c if p else [x for s, x in c if not s] for c, p in zip(cut, plain, strict=True))))
         known, out = self.cache, []
         for c, p in zip(cut, plain, strict=True):
             if p:
-                found = [known[w] for w in c]
+                found = map(known.__getitem__, c)
             else:
                 found = [(1, str(self.special[w]), w) if s else known[w] for s, w in c]
-            found = [f for f in found if f[0]]
-            out.append((sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])))
+            counts, ids, names = zip(*found, strict=True) if c else ((), (), ())
+            if 0 in counts:  # a word of symbols that the vocabulary lacks
+                ids, names = ([x for n, x in zip(counts, part, strict=True) if n] for part in (ids, names))
+            out.append((sum(counts), " ".join(ids), " ".join(names)))
         return out
 
     def decode(self, ids: list[int]) -> str:
