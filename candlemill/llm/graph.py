@@ -17,14 +17,19 @@ def _lowest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("low"))
 
 
+def fingerprint(edges: DataFrame) -> tuple:
+    """Number and hash of a table of distinct edges; no sum, which could pass the range of bigint."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).head())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for every vertex of `edges` (columns a, b; any order, repeats and loops allowed).
 
     The component is the smallest vertex reachable. Edges with a NULL end are left out; an
     empty table gives no rows.
     """
-    ends = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), (F.col("a") + F.col("b")).alias("s"))
-    tree = written(ends.where("s is not null and u <> v").select("u", "v").distinct(), "edges")
+    ends = edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    tree = written(ends.where("u <> v").distinct(), "edges")
     before = None
     while True:
         both = tree.unionByName(tree.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(_lowest(large), "u")
         small = joined.select(F.explode(F.array(F.struct("u", "low"), F.struct(F.col("v").alias("u"), "low"))).alias("e"))
         tree = written(small.select("e.u", F.col("e.low").alias("v")).where("u <> v").distinct(), "edges")
-        now = tuple(tree.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).head())
+        now = fingerprint(tree)
         if now == before:
             break
         before = now

@@ -4,7 +4,7 @@ import numpy as np
 from cases import LONG, awkward, clashing, docs, empty
 
 from candlemill.llm import near_dups as n
-from candlemill.llm.graph import components
+from candlemill.llm.graph import components, fingerprint
 
 
 def words(rng, count):
@@ -103,3 +103,15 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | dict.fromkeys((90, 200, 300), 90) | {500 + k: 500 for k in range(60)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_large_ids(spark):
+    top = (1 << 63) - 1
+    edges = [(top, top - 1), (top - 1, top - 2), (-top, -top + 1), (None, top), (-top, None)]
+    got = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {top: top - 2, top - 1: top - 2, top - 2: top - 2, -top: -top, -top + 1: -top}
+
+
+def test_fingerprint_of_many_edges(spark):
+    edges = spark.range(20_000_000).selectExpr("id + 1 as u", "id as v")
+    assert fingerprint(edges) == fingerprint(edges.repartition(3)) != fingerprint(edges.where("u <> 5"))
