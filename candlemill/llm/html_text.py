@@ -3,9 +3,9 @@
 Method: the standard library's parser turns a page into events. Block by block (the lines
 of the page as it is shown) text and tags are counted; the ratio of text to tags is
 smoothed with a Gaussian over neighbouring blocks, and blocks above a threshold are
-clustered into content regions. The element that holds most of the text of these regions is
-the article. All its blocks are returned, short ones too, but for menus, notices, adverts,
-comments and the like, which are told by their elements and by the words of class, id and role.
+clustered into content regions. The elements that hold these regions are the article, however
+many there are. All their blocks are returned, short ones too, but for menus, notices, adverts,
+comments and the like, which are told by their elements and by whole values of class, id and role.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, text_of
 
 SIGMA = 1.5
-SHARE = 0.8  # of the content text that the article must hold
+DATA_ROWS = 3  # from which on a table holds data; a smaller one may lay the page out, each cell for itself
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -42,6 +42,12 @@ _BOILERPLATE = frozenset(
     "notice notices overlay pagination pager popup promo promoted promotion recommended related replies reply search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toc toolbar widget widgets".split()
 )
+# Words that may stand beside those in a name ("page-footer"); any other word makes a name of its own ("social-impact").
+_NEUTRAL = frozenset(
+    "area bar block bottom box container inner left links list outer page panel right section site top wrap wrapper".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_NAMED_BY_AUTHORS = _HEADINGS | frozenset("a dt p section span".split())  # their ids are anchors into the text
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -52,15 +58,15 @@ def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         return True
     if not attrs or tag in ("html", "body", "main", "article"):
         return False
+    classes = next((value or "" for name, value in attrs if name == "class"), "").split()
+    anchor = tag in _NAMED_BY_AUTHORS or "section" in classes
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
             return True
-        if name in ("class", "id") and value:
+        if tag not in _HEADINGS and value and (name == "class" or name == "id" and not anchor):
             for word in value.split():
                 parts = {p.lower() for p in _TOKEN.findall(word)}
-                if parts & _BOILERPLATE and not parts & {"has", "with", "no", "content", "main", "article", "body"} - (
-                    {"content", "body"} if parts & {"comment", "comments"} else set()
-                ):
+                if word.lower() in _BOILERPLATE or parts & _BOILERPLATE and parts <= _BOILERPLATE | _NEUTRAL:
                     return True
     return False
 
@@ -73,6 +79,8 @@ class _Blocks(HTMLParser):
         self.blocks: list[tuple[str, int, int, bool]] = []  # text, tags, holder, hidden
         self.parents = [-1]  # of each holder; 0 is the page
         self.names = [""]
+        self.rows = [0]  # of each table
+        self.headings: set[int] = set()  # blocks that are headings
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, holder, hidden
         self.text: list[str] = []
         self.tags = 0
@@ -81,6 +89,8 @@ class _Blocks(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             _, holder, hidden = self.open[-1]
+            if any(t in _HEADINGS for t, _, _ in self.open):
+                self.headings.add(len(self.blocks))
             self.blocks.append((text, self.tags, holder, hidden))
             self.tags = 0
         self.text.clear()
@@ -102,7 +112,13 @@ class _Blocks(HTMLParser):
         if tag in _HOLDERS:
             self.parents.append(holder)
             self.names.append(tag)
+            self.rows.append(0)
             holder = len(self.parents) - 1
+            if tag == "tr":
+                table = holder
+                while table and self.names[table] != "table":
+                    table = self.parents[table]
+                self.rows[table] += 1
         self.open.append((tag, holder, outside))
 
     def handle_startendtag(self, tag, attrs):
@@ -163,20 +179,35 @@ def main_text(html: str) -> str:
     smooth = smoothed(ratios)
     threshold = min(smooth[shown].mean(), smooth[shown].std()) if len(shown) > 1 else 0.0
     content = {i for i in shown if smooth[i] >= threshold}
-    held = [0] * len(page.parents)
-    for i in content:
-        held[blocks[i][2]] += len(blocks[i][0])
-    for h in range(len(held) - 1, 0, -1):  # holders come after their parents
-        held[page.parents[h]] += held[h]
-    named = [h for h, n in enumerate(page.names) if n in ("article", "main") and held[h]]
-    if named and max(held[h] for h in named) >= 0.5 * held[0]:
-        root = max(named, key=lambda h: (held[h], h))
-    else:
-        root = max((h for h in range(len(held)) if held[h] >= SHARE * held[0]), default=0)
-    inside = [False] * len(held)
-    for h in range(len(held)):
-        inside[h] = h == root or h > 0 and inside[page.parents[h]]
-    return "\n".join(blocks[i][0] for i in shown if inside[blocks[i][2]])
+    regions = _regions(page, ratios, content, threshold)
+    inside = [False] * len(page.parents)
+    for h in range(1, len(inside)):  # holders come after their parents
+        inside[h] = inside[page.parents[h]] or h in regions and page.names[h] != "body"
+    return "\n".join(blocks[i][0] for i in shown if inside[blocks[i][2]] or blocks[i][2] in regions)
+
+
+def _regions(page: _Blocks, ratios: np.ndarray, content: set[int], threshold: float) -> set[int]:
+    """Elements that hold content regions.
+
+    Smoothing lifts the ends of a menu beside the text, too; so one block of an element has to be a
+    heading or above the threshold by itself.
+    """
+    return {_region(page, page.blocks[i][2]) for i in content if i in page.headings or ratios[i] >= threshold}
+
+
+def _region(page: _Blocks, holder: int) -> int:
+    """The element that a content block of `holder` stands for: the article or main around it, a table of data for a cell, or itself."""
+    h = holder
+    while h > 0:
+        if page.names[h] in ("article", "main"):
+            return h
+        h = page.parents[h]
+    while page.names[holder] in ("td", "tr", "tbody"):
+        up = page.parents[holder]
+        if page.names[up] == "table" and page.rows[up] < DATA_ROWS:
+            break  # a table that lays the page out
+        holder = up
+    return holder
 
 
 def extract(pages: DataFrame, out: str = "main_text", html_col: str = "html") -> DataFrame:

@@ -40,3 +40,28 @@ def test_awkward_rows(spark):
     got = sorted((r["page_id"] or 0, r["n_chars"]) for r in h.report(table).collect())
     assert got == [(0, 499_999), (1, 0), (2, 0), (2, 0)]
     assert h.report(table.limit(0)).count() == 0
+
+
+WORDS = "These are some words of the article that go on for quite a while, as paragraphs of a real text do. " * 3
+WHOLE = {
+    # names of sections and headings, and names that only contain a boilerplate word
+    f"<main><section id='binary-search'><h2 id='search'>Search</h2><p>{WORDS}</p></section><div class='section' id='tags'><p>{WORDS}</p></div>"
+    f"<h2 id='social-impact'>Impact</h2><div class='skip-lists'><p>{WORDS}</p></div><div class='page-footer'>f</div><div id=sidebar>s</div></main>": ["Search", WORDS, WORDS, "Impact", WORDS],
+    # title and lead beside the body text
+    f"<body><div class=top-story><h1>A title of some words</h1><p>{WORDS}</p></div><div class=text>{f'<p>{WORDS}</p>' * 12}</div><nav>menu</nav></body>": ["A title of some words", *[WORDS] * 13],
+    # paragraphs around a large table
+    f"<div><p>{WORDS}</p><table>{f'<tr><td>{WORDS}</td><td>7</td></tr>' * 12}</table><p>{WORDS}</p></div>": [WORDS, *[WORDS, "7"] * 12, WORDS],
+    # two articles without a main element
+    f"<body><article><p>{WORDS}</p><p>{WORDS}</p></article><article><h2>Er.</h2><p>{WORDS}</p></article></body>": [WORDS, WORDS, "Er.", WORDS],
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_no_text_of_the_article_is_lost(page):
+    assert h.main_text(page) == "\n".join(" ".join(b.split()) for b in WHOLE[page])
+
+
+def test_menus_without_names_stay_out():
+    menu = "<div>" + "<ul>" + "<li><a href=x>go</a></li>" * 30 + "</ul></div>"
+    page = f"<body>{menu}<div>{f'<p>{WORDS}</p>' * 6}</div></body>"
+    assert h.main_text(page) == "\n".join([WORDS.strip()] * 6)
