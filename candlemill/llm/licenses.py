@@ -8,8 +8,8 @@ another mask, collide with that probability each; there are as many bands as bri
 probability that none collides below MISS. Templates that collide are verified by exact
 containment of shingles.
 
-Shingles have five words, or all words of a shorter template. Texts that share no shingle
-with any template can't contain one and leave before windows are made.
+Shingles have five words, or all words of a shorter template. Windows are made only of texts
+that hold, anywhere, as many shingles of a group of templates as containment asks for.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_of
+from .license_templates import common_templates
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
 MISS = 1e-5
 MAX_TEMPLATE_SHINGLES = 100_000  # of all templates; they travel inside the plan
 
-# The usual short notices.
-TEMPLATES = {
+# The usual short notices, and the headers, SPDX lines and texts of common licences.
+TEMPLATES = common_templates() | {
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "cc-by-4.0": "Licensed under CC BY 4.0.",
@@ -123,7 +124,36 @@ def _classes(spark: SparkSession, templates: dict[str, str], bands: int) -> list
 
 
 def _longs(values: list[int]) -> Column:
-    return F.array(*[F.lit(v).cast("bigint") for v in values])
+    """A constant array; one literal, as there are many values."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _member(hashes: set[int]):
+    """Is a hash one of these? Tables of slots, each for what the one before had no place for."""
+    levels, left, shift = [], sorted(hashes), 0
+    while left and shift + (bits := max(4, (8 * len(left)).bit_length())) < 64:
+        slots, rest = [0] * (1 << bits), []
+        for h in left:
+            at = (h >> shift) & ((1 << bits) - 1)
+            if slots[at]:
+                rest.append(h)
+            else:
+                slots[at] = h
+        levels.append((shift, (1 << bits) - 1, _longs(slots)))
+        left, shift = rest, shift + bits
+    if left:
+        levels.append((0, 0, None))
+
+    def test(x: Column) -> Column:
+        found = F.lit(False)
+        for shift, mask, slots in levels:
+            if slots is None:
+                found = found | F.array_contains(_longs(left), x)
+            else:
+                found = found | (F.element_at(slots, F.shiftright(x, shift).bitwiseAND(F.lit(mask)).cast("int") + 1) == x)
+        return found
+
+    return test
 
 
 def scan(
@@ -151,12 +181,19 @@ def scan(
     made = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _once(words(text_of(text_col))).alias("words"))
     every = F.struct(*[shingles(F.col("words"), n).alias(f"s{n}") for n in sizes])
     made = made.select("doc_id", _once(every).alias("s")).select("doc_id", "s.*")
-    shared = [F.arrays_overlap(f"s{n}", _longs(sorted({h for c in classes if c.size == n for t in c.hashes for h in t}))) for n in sizes]
+    members = {n: {h for c in classes if c.size == n for t in c.hashes for h in t} for n in sizes}
+    held = F.struct(*[F.array_distinct(F.filter(f"s{n}", _member(members[n]))).alias(f"h{n}") for n in sizes])
+    made = made.select("*", _once(held).alias("h")).select("*", "h.*")
     some = F.lit(False)
-    for s in shared:
-        some = some | s
+    for n in sizes:
+        some = some | (F.size(f"h{n}") > 0)
     made = made.where(some)
-    cut = F.concat(*[_windows(f"s{c.size}", c.length, i) for i, c in enumerate(classes)])
+    none = F.array().cast("array<struct<class:int,first_word:int,hashes:array<bigint>>>")
+    enough = [
+        F.size(F.array_intersect(f"h{c.size}", _longs(sorted({h for t in c.hashes for h in t})))) >= F.lit(containment * c.length - 1e-6)
+        for c in classes
+    ]
+    cut = F.concat(*[F.when(e, _windows(f"s{c.size}", c.length, i)).otherwise(none) for i, (c, e) in enumerate(zip(classes, enough, strict=True))])
     rows = made.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.*")
     rows = rows.select("*", _once(F.array(*_minima(F.col("hashes"), bands))).alias("minima"))
     known = [(i, c.names[k], c.hashes[k], c.minima[k]) for i, c in enumerate(classes) for k in range(len(c.names))]

@@ -44,3 +44,14 @@ def test_bands_suffice():
 def test_no_python_in_the_plan(spark):
     plan = li.scan(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_common_licences(spark):
+    names = ["bsd-2-or-3-clause-text", "bsd-third-clause", "isc-or-0bsd-text", "lgpl-2.1-header", "mpl-2.0-header", "mit-text", "gpl-3-text", "agpl-3.0-spdx"]
+    usual = "This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+    usual += " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n"
+    rows = [(i, f"Some words before. {li.TEMPLATES[n]}\n and some after.") for i, n in enumerate(names)]
+    got = {(g[0], g[1]) for g in found(li.scan(docs(spark, [*rows, (-1, usual), (-2, usual.replace("GNU", "GNU Affero"))])))}
+    assert set(enumerate(names)) <= got
+    alone = {(i, n) for i, n in enumerate(names) if n not in ("mit-text", "gpl-3-text")}
+    assert {g for g in got if g[0] not in (5, 6)} == alone | {(-1, "gpl-3.0-header"), (-2, "agpl-3.0-header")}
