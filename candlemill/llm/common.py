@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ WORD_BYTES = bytes(
     for b in range(256)
 )
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or `name` with underscores added until no column of df is called so."""
@@ -54,6 +57,17 @@ def byte_slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield start, binary.slice(start).to_pylist()
 
 
+def pieces(text: bytes, size: int = 2 * SLICE_BYTES) -> Iterator[bytes]:
+    """The text in pieces of about `size` bytes, cut before ASCII white space."""
+    at = 0
+    while len(text) - at > size:
+        gap = _SPACE.search(text, at + size)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def runs(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Owner of each element and its place in its run, for runs of the given lengths."""
     owner = np.repeat(np.arange(len(counts)), counts)

@@ -77,8 +77,49 @@ SELECT doc_id, license, count(*) AS n_windows, min(q * m)::BIGINT AS first_word,
 FROM held WHERE containment >= {CONTAINMENT} GROUP BY doc_id, license
 """
 
+# Bits of the filters A to E are 1 to 16; an order is a list of them.
+_OP13 = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), label AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), cell AS (
+  SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+               + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+               + 8 * regexp_matches(t, '[#$%&*|]')::INT
+               + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INT AS bits
+        FROM doc LEFT JOIN label USING (doc_id))
+  GROUP BY part, bits
+), letter(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+filter_orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS before
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM filter_orders)
+), counted AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (bits & (before | own) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (bits & before = 0 AND bits & own <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (bits & before <> 0 AND bits & own <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (bits = own), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (bits & before = 0 AND bits & own <> 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (bits & before = 0 AND bits & own <> 0), 0) AS toxic_lost
+  FROM cell, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLE: dict[str, str] = {
     "op4_licenses": _OP4,
     "op5_decontaminate": _OP5,
     "op10_chat": _OP10,
+    "op13_filter_audit": _OP13,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, embed_dups, html_text, licenses, near_dups, quality, suffix_tree, toxicity
+from . import (
+    bpe,
+    chat,
+    decontaminate,
+    embed_dups,
+    filter_audit,
+    html_text,
+    language_id,
+    licenses,
+    near_dups,
+    quality,
+    spelling,
+    suffix_tree,
+    toxicity,
+)
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -57,6 +71,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(chat.control_conversation(spark))))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_suffix_tree": op2_suffix_tree,
@@ -68,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_html": op9_html,
     "op10_chat": op10_chat,
+    "op11_language": op11_language,
+    "op12_spelling": op12_spelling,
+    "op13_filter_audit": op13_filter_audit,
 }
