@@ -12,6 +12,7 @@ from candlemill.operators.dedup import dedup_bars, upsert_replace
 from candlemill.operators.marks import MARK, is_newer, with_marks
 from candlemill.schema import TIMEFRAMES, partition_columns
 from candlemill.session import staged, written
+from candlemill.sources.collection import CollectionStore
 from candlemill.sources.store import BarStore
 
 
@@ -46,10 +47,14 @@ def load_incremental(
     hold back, are dropped before anything is shuffled. Running it twice, or again after a
     failure, adds nothing. Returns the numbers of `loaded` bars and of `dropped` records.
     """
-    late, fresh = Observation(), Observation()
     if symbols is not None:
         bars = bars.join(symbols.select("index").distinct(), "index", "left_semi")
-    marked = with_marks(bars, store.marks(timeframe, symbols))
+    return _append_newer(store, bars, timeframe, store.marks(timeframe, symbols))
+
+
+def _append_newer(store: BarStore | CollectionStore, bars: DataFrame, timeframe: str, marks: DataFrame) -> dict[str, int]:
+    late, fresh = Observation(), Observation()
+    marked = with_marks(bars, marks)
     newer = marked.observe(late, F.count_if(~_loadable()).alias("n")).where(_loadable()).drop(MARK)
     store.append(timeframe, _one_each(newer).observe(fresh, F.count(F.lit(1)).alias("n")))
     loaded, dropped = _metric(fresh, "n") or 0, _metric(late, "n")
@@ -58,6 +63,29 @@ def load_incremental(
     return {"loaded": loaded, "dropped": dropped}
 
 
+def load_collection(store: CollectionStore, bars: DataFrame, timeframe: str, replace: bool = False) -> dict[str, int]:
+    """Append the bars newer than the mark of their symbol to a collection; `load_incremental` without partitions.
+
+    The newest bar of all comes from the files' footers. Bars that are newer still need no mark, so if
+    all are, no stored row is read. Otherwise marks are read from the oldest of the bars on: a
+    symbol without stored bars since then has no bar that could be held back.
+
+    With `replace` all bars are taken, stored ones of the same symbol and time replaced.
+    """
+    with staged(bars, "collection") as rows:
+        if replace:
+            good = F.col("index").isNotNull() & F.col("cuote_timestamp").isNotNull()
+            winners = _one_each(rows.where(good))
+            store.replace(timeframe, winners)
+            return {"loaded": winners.count(), "dropped": rows.where(~good).count()}
+        newest, oldest = store.newest(timeframe), rows.agg(F.min("cuote_timestamp")).first()[0]
+        if newest is None or oldest is None or oldest > newest:
+            marks = store.spark.createDataFrame([], "index string, mark timestamp")
+        else:
+            marks = store.marks(timeframe, rows.select("index"), since=oldest)
+        return _append_newer(store, rows, timeframe, marks)
+
+
 def load_all_timeframes(
     store: BarStore,
     bars: DataFrame | Mapping[str, DataFrame],

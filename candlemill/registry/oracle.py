@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from candlemill.registry.queries import BACKFILL, SPLIT
-from candlemill.schema import TABLES, TIMEFRAMES
+from candlemill.schema import COLLECTIONS, TABLES, TIMEFRAMES
 
 _STARTS = {
     "15m": "time_bucket(INTERVAL '15 minutes', {ts})",
@@ -128,6 +128,11 @@ def _backfill() -> str:
     SELECT * FROM named WHERE file_name NOT IN (SELECT 'C' || o_custkey || '-1d-' || strftime(o_orderdate, '%Y-%m') || '.zip' FROM orders)"""
 
 
+_NEWEST_ORDERS = """SELECT c_custkey AS _id, round(c_acctbal, 6) AS amount, CAST(NULL AS BIGINT) AS o_orderkey, CAST(NULL AS TIMESTAMP) AS updated
+    FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+    UNION ALL SELECT o_custkey, round(o_totalprice, 6), o_orderkey, o_orderdate FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+
 ORACLE: dict[str, str] = {
     "bars_from_events": f"SELECT timeframe, {_BAR} FROM ({_all(_events)})",
     "stream_bars": _HOURLY,
@@ -210,15 +215,14 @@ ORACLE: dict[str, str] = {
           strftime(max(o_orderdate), '%Y-%m') FROM orders GROUP BY o_orderpriority""",
     "incremental_load": _HOURLY,
     "incremental_load_catalog": f"SELECT {_BAR} FROM ({_events('4h')})",
+    "incremental_load_collection": f"SELECT timeframe, {_BAR} FROM ({_all(_events, COLLECTIONS)})",
     "full_reload": f"""SELECT store, {_BAR} FROM (
           SELECT * FROM ({_orders("1d")}) WHERE "index" <> '5-LOW'
           UNION ALL SELECT * REPLACE (cuote_timestamp - INTERVAL 365 DAY AS cuote_timestamp) FROM ({_orders("1d")}) WHERE "index" = '5-LOW')
         CROSS JOIN {_TWO_STORES}""",
     "load_all_timeframes": f"SELECT timeframe, {_BAR} FROM ({_all(_events)})",
-    "upsert_replace": """SELECT c_custkey AS _id, round(c_acctbal, 6) AS amount, CAST(NULL AS BIGINT) AS o_orderkey, CAST(NULL AS TIMESTAMP) AS updated
-        FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-        UNION ALL SELECT o_custkey, round(o_totalprice, 6), o_orderkey, o_orderdate FROM orders
-        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "upsert_replace": _NEWEST_ORDERS,
+    "collection_replace": _NEWEST_ORDERS,
     "replace_by_key": f"""SELECT {_BAR} FROM (SELECT * REPLACE (CASE WHEN "index" = '2-HIGH' THEN 0.0::double ELSE volume END AS volume) FROM ({_orders("1d")}))""",
     "drop_symbol": f"""SELECT store, {_BAR} FROM ({_events("4h")}) CROSS JOIN {_TWO_STORES} WHERE "index" <> 'error'""",
     "compact_partitions": f"SELECT {_BAR}, CAST(1 AS BIGINT) AS files FROM ({_events('1h')})",

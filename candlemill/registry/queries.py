@@ -14,9 +14,10 @@ from candlemill.operators.ema import add_ema
 from candlemill.plans import backfill, compact, load
 from candlemill.registry import files
 from candlemill.registry.files import event_bars, order_bars, order_requests, table
-from candlemill.schema import CORRUPT, TIMEFRAMES, table_name_column
+from candlemill.schema import COLLECTIONS, CORRUPT, TIMEFRAMES, table_name_column
 from candlemill.session import scratch_dir, use_utc
 from candlemill.sources import archives, catalogue, csv_bars
+from candlemill.sources.collection import Collection, CollectionStore
 from candlemill.sources.store import BarStore, CatalogStore, PathStore, read_table
 from candlemill.streaming import bars as bar_stream
 from candlemill.streaming import ingest
@@ -420,6 +421,42 @@ def incremental_load_catalog(spark, sf_dir):
     return _bars_out(store.read("4h"))
 
 
+@query
+def incremental_load_collection(spark, sf_dir):
+    """As `incremental_load`, in five collections; one event type comes late, so it is behind the newest bar of all."""
+    store = CollectionStore(spark, scratch_dir(spark, "collection"))
+    late, outs = F.col("index") == "signup", []
+    for timeframe in COLLECTIONS:
+        bars = event_bars(spark, sf_dir, timeframe)
+        load.load_collection(store, bars.where((F.col("cuote_timestamp") < SPLIT) & ~late), timeframe)
+        load.load_collection(store, bars.where(~late), timeframe)
+        load.load_collection(store, bars, timeframe)
+        load.load_collection(store, bars, timeframe)
+        outs.append(_bars_out(store.read(timeframe).withColumn("timeframe", F.lit(timeframe)), "timeframe"))
+    for other in outs[1:]:
+        outs[0] = outs[0].unionByName(other)
+    return outs[0]
+
+
+@query
+def collection_replace(spark, sf_dir):
+    """Documents of customers, replaced by each customer's newest order; twice, with the same result."""
+    documents = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("_id"),
+        F.col("c_acctbal").alias("amount"),
+        F.lit(None).cast("bigint").alias("o_orderkey"),
+        F.lit(None).cast("timestamp_ntz").alias("updated"),
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("_id"), F.col("o_totalprice").alias("amount"), "o_orderkey", F.col("o_orderdate").alias("updated")
+    )
+    collection = Collection(spark, scratch_dir(spark, "documents"), documents.schema, ["_id"])
+    collection.append(documents)
+    for _ in range(2):
+        collection.replace(orders, "_id", ["updated", "o_orderkey"])
+    return _out(collection.read(), "_id", "amount", "o_orderkey", "updated")
+
+
 @query
 def full_reload(spark, sf_dir):
     """Wrong bars, shifted by a year so that other partitions hold them, are replaced for all symbols but one."""

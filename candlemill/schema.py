@@ -40,6 +40,9 @@ TABLES = {
 TIMEFRAMES = tuple(TABLES)
 DATABASE = "crypto"
 
+# Timeframe -> document collection; the shortest timeframe has none.
+COLLECTIONS = {"30m": "crypto.m30", "1h": "crypto.h1", "4h": "crypto.h4", "1d": "crypto.d1", "1w": "crypto.w1"}
+
 # Bar length in minutes.
 MINUTES = {"15m": 15, "30m": 30, "1h": 60, "4h": 240, "1d": 1440, "1w": 10080}
 
@@ -53,6 +56,12 @@ def table_name(timeframe: str) -> str:
     return TABLES[timeframe]
 
 
+def collection_name(timeframe: str) -> str:
+    if timeframe not in COLLECTIONS:
+        raise ValueError(f"no collection for timeframe {timeframe!r}, expected one of {', '.join(COLLECTIONS)}")
+    return COLLECTIONS[timeframe]
+
+
 def table_name_column(timeframe: Column | str) -> Column:
     """The same route as data; NULL for an unknown timeframe."""
     pairs = [F.lit(part) for item in TABLES.items() for part in item]

@@ -65,10 +65,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staged(df: DataFrame, label: str, *partition_by: str) -> Iterator[DataFrame]:
-    """`written`, split into folders by the given columns, for as long as the block runs."""
+    """`written`, split into folders by the given columns if any, for as long as the block runs."""
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
-    df.write.partitionBy(*partition_by).parquet(f"{folder}/data")
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{folder}/data")
     try:
         yield spark.read.schema(df.schema).parquet(f"{folder}/data")
     finally:

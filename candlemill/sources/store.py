@@ -51,6 +51,20 @@ def _partition_label(timeframe: str) -> Column:
     return F.format_string("%04d-%02d", "cuote_year", "cuote_month")
 
 
+def holds_data(spark: SparkSession, location: str) -> bool:
+    """Whether a Parquet file lies below; ends at the first one found."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return False
+    found = fs.listFiles(root, True)
+    while found.hasNext():
+        path = found.next().getPath().toString()
+        if path.endswith(".parquet") and "/_" not in path[len(location) :]:
+            return True
+    return False
+
+
 class BarStore:
     """What both stores share."""
 
@@ -184,16 +198,7 @@ class PathStore(BarStore):
 
     def exists(self, timeframe: str) -> bool:
         """Judged by the first data file found, not by a catalogue entry or an empty folder."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.location(timeframe))
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return False
-        found = fs.listFiles(root, True)
-        while found.hasNext():
-            path = found.next().getPath().toString()
-            if path.endswith(".parquet") and "/_" not in path[len(self.location(timeframe)) :]:
-                return True
-        return False
+        return holds_data(self.spark, self.location(timeframe))
 
     def _read(self, timeframe: str) -> DataFrame:
         return self.spark.read.schema(stored_schema(timeframe)).parquet(self.location(timeframe))
