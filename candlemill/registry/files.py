@@ -88,3 +88,12 @@ def order_requests(spark: SparkSession, sf_dir: str, symbol: Column | None = Non
         F.col("o_orderdate").alias("arrival"),
         F.when(cut, F.substring(payload, 1, 12)).otherwise(payload).alias("value"),
     )
+
+
+def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load request per event for its type: of every ten users one asks another exchange, one is cut off half-way."""
+    priority = F.when(F.col("event_type") == "error", F.lit(3)).otherwise(F.length("event_type"))
+    exchange = F.when(F.col("user_id") % 10 == 0, F.lit("coinex")).otherwise(F.lit("binance"))
+    payload = request_payload("event_type", exchange, priority)
+    cut = F.when(F.col("user_id") % 10 == 1, F.substring(payload, 1, 12)).otherwise(payload)
+    return table(spark, sf_dir, "events").select("event_id", cut.alias("value"))

@@ -71,6 +71,11 @@ def _stochastic(source: str, by: str = '"index"', k: int = 14, d: int = 3) -> st
     stoch AS (SELECT *, k AS "in_StochLineK", avg(k) OVER {_frame(d, by)} AS "in_StochLineD" FROM line)"""
 
 
+_EMA = """numbered AS (SELECT *, row_number() OVER (PARTITION BY "index" ORDER BY cuote_timestamp) AS n FROM bars),
+    ema AS (SELECT "index", cuote_timestamp, n, cuote_close AS y FROM numbered WHERE n = 1
+      UNION ALL SELECT b."index", b.cuote_timestamp, b.n, (1.0::double - 2.0::double / 15) * e.y + 2.0::double / 15 * b.cuote_close
+      FROM ema e JOIN numbered b ON b."index" = e."index" AND b.n = e.n + 1)"""
+
 _BAND_COLUMNS = """round("in_BBandMiddle", 6) AS "in_BBandMiddle",
     round("in_BBandMiddle" - 2.0::double * sd, 6) AS "in_BBandLower",
     round("in_BBandMiddle" + 2.0::double * sd, 6) AS "in_BBandUpper\""""
@@ -156,12 +161,10 @@ ORACLE: dict[str, str] = {
     "stochastic": f'WITH bars AS ({_events("1h")}), {_stochastic("bars")} SELECT "index", cuote_timestamp, {_STOCH_COLUMNS} FROM stoch',
     "all_indicators": f"""WITH {_rsi(_all(_events), 14, "zero", _SERIES)}, {_bands("rsi", _SERIES)}, {_stochastic("bands", _SERIES)}
         SELECT "index", timeframe, cuote_timestamp, round("in_RSI", 6) AS "in_RSI", {_BAND_COLUMNS}, {_STOCH_COLUMNS} FROM stoch""",
-    "ema": f"""WITH RECURSIVE bars AS ({_events("1h")}),
-        numbered AS (SELECT *, row_number() OVER (PARTITION BY "index" ORDER BY cuote_timestamp) AS n FROM bars),
-        ema AS (SELECT "index", cuote_timestamp, n, cuote_close AS y FROM numbered WHERE n = 1
-          UNION ALL SELECT b."index", b.cuote_timestamp, b.n, (1.0::double - 2.0::double / 15) * e.y + 2.0::double / 15 * b.cuote_close
-          FROM ema e JOIN numbered b ON b."index" = e."index" AND b.n = e.n + 1)
-        SELECT "index", cuote_timestamp, round(y, 6) AS "in_EMA" FROM ema""",
+    "ema": f'WITH RECURSIVE bars AS ({_events("1h")}), {_EMA} SELECT "index", cuote_timestamp, round(y, 6) AS "in_EMA" FROM ema',
+    "indicators_across_chunks": f"""WITH RECURSIVE {_rsi(_orders("1d"), 14, "zero")}, {_bands("rsi")}, {_stochastic("bands")}, {_EMA}
+        SELECT "index", cuote_timestamp, round("in_RSI", 2) AS "in_RSI", {f"{_BAND_COLUMNS}, {_STOCH_COLUMNS}".replace(", 6)", ", 2)")}, round(y, 2) AS "in_EMA"
+        FROM stoch JOIN ema USING ("index", cuote_timestamp)""",
     "safe_division": f"""SELECT {_LINE}, round(CASE WHEN l_discount - 0.03::double > 0 THEN l_quantity / (l_discount - 0.03::double)
         ELSE 0.0::double END, 6) AS value FROM lineitem""",
     "gain_loss": """SELECT event_id, round(CASE WHEN value > 100 THEN value - 100 ELSE 0.0::double END, 6) AS gain,
@@ -235,10 +238,21 @@ ORACLE: dict[str, str] = {
     "request_priority": f"""SELECT o_orderkey, priority, row_number() OVER (ORDER BY priority DESC, o_orderdate, o_orderkey) AS position
         FROM ({_PAYLOAD}) WHERE {_ROUTE} = 'load'""",
     "dead_letter": f"SELECT o_orderkey, value FROM ({_PAYLOAD}) WHERE NOT valid",
-    "stream_requests": f"""WITH routed AS (SELECT *, {_ROUTE} AS route FROM ({_PAYLOAD}))
-        SELECT 'bars' AS kind, "index" AS symbol, count(*) AS n FROM ({_orders("1w")})
-          WHERE "index" IN (SELECT o_orderpriority FROM routed WHERE route = 'load') GROUP BY 1, 2
-        UNION ALL SELECT CASE route WHEN 'load' THEN 'accepted' WHEN 'invalid' THEN 'rejected' ELSE route END,
-          CASE WHEN valid THEN o_orderpriority ELSE '' END, count(*) FROM routed GROUP BY 1, 2""",
-    "stream_incremental_load": _HOURLY,
+    "stream_requests": f"""WITH routed AS (SELECT event_type AS symbol, CASE WHEN event_type = 'error' THEN 3 ELSE length(event_type) END AS priority,
+          CASE user_id % 10 WHEN 0 THEN 'unsupported' WHEN 1 THEN 'rejected' ELSE 'accepted' END AS kind FROM events),
+        served AS (SELECT symbol, max(priority) AS priority FROM routed WHERE kind = 'accepted' GROUP BY 1)
+        SELECT 'round' AS kind, symbol, (row_number() OVER (ORDER BY priority DESC) + 1) // 2 AS n FROM served
+        UNION ALL SELECT timeframe || ' bars', "index", count(*) FROM ({_all(_events)})
+          WHERE "index" IN (SELECT symbol FROM served) GROUP BY 1, 2
+        UNION ALL SELECT kind, CASE kind WHEN 'rejected' THEN '' ELSE symbol END, count(*) FROM routed GROUP BY 1, 2""",
+    "request_retry": f"""WITH served AS (SELECT DISTINCT o_orderpriority AS symbol FROM ({_PAYLOAD}) WHERE {_ROUTE} = 'load'),
+        tried AS (SELECT symbol, 'loaded' AS status, 1 AS n, 0 AS minute FROM served WHERE symbol <> '2-HIGH'
+          UNION ALL SELECT symbol, unnest(['waiting', 'waiting', 'loaded']), unnest([1, 2, 3]), unnest([0, 5, 15]) FROM served WHERE symbol = '2-HIGH')
+        SELECT 'try ' || status AS kind, symbol, n::BIGINT AS n FROM tried
+        UNION ALL SELECT 'minute', symbol, minute FROM tried
+        UNION ALL SELECT 'bars', "index", count(*) FROM ({_orders("1w")}) WHERE "index" IN (SELECT symbol FROM served) GROUP BY 2""",
+    "stream_incremental_load": f"SELECT timeframe, {_BAR} FROM ({_all(_events)})",
+    "stream_accounting": f"""SELECT timeframe, count(*) AS loaded, count(*) AS dropped, count(*) AS duplicates,
+          (3 * sum(count(*)) OVER () + bad)::BIGINT AS seen, bad
+        FROM ({_all(_events)}), (SELECT count(*) AS bad FROM events) GROUP BY timeframe, bad""",
 }

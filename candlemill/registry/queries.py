@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta, timezone
 from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,11 +14,12 @@ from candlemill.operators import dedup, indicators, marks, moving, ranking
 from candlemill.operators.ema import add_ema
 from candlemill.plans import backfill, compact, load
 from candlemill.registry import files
-from candlemill.registry.files import event_bars, order_bars, order_requests, table
+from candlemill.registry.files import event_bars, event_requests, order_bars, order_requests, table
 from candlemill.schema import COLLECTIONS, CORRUPT, TIMEFRAMES, table_name_column
 from candlemill.session import scratch_dir, use_utc
 from candlemill.sources import archives, catalogue, csv_bars
 from candlemill.sources.collection import Collection, CollectionStore
+from candlemill.sources.series_files import SeriesFiles
 from candlemill.sources.store import BarStore, CatalogStore, PathStore, read_table
 from candlemill.streaming import bars as bar_stream
 from candlemill.streaming import ingest
@@ -158,6 +160,16 @@ def ema(spark, sf_dir):
     return _out(df, "index", "cuote_timestamp", "in_EMA")
 
 
+@query
+def indicators_across_chunks(spark, sf_dir):
+    """All indicators over seven years of daily bars, in chunks of 14 days: most frames cross a cut."""
+    bars = order_bars(spark, sf_dir)
+    df = add_ema(indicators.add_indicators(bars, chunk_days=14), 14, chunk_days=14)
+    # Prices go up to half a million, so six places would be below what a double sum keeps.
+    rounded = {c: F.round(c, 2) for c in df.columns if c.startswith("in_")}
+    return _out(df.withColumns(rounded), "index", "cuote_timestamp", *rounded)
+
+
 @query
 def sorted_output(spark, sf_dir):
     df = indicators.add_rsi(event_bars(spark, sf_dir, "15m"), 14)
@@ -606,35 +618,98 @@ def dead_letter(spark, sf_dir):
 # --- streams ----------------------------------------------------------------
 
 
+def _tally(rows: DataFrame, kind: str, symbol: str) -> DataFrame:
+    named = rows.select(F.lit(kind).alias("kind"), F.coalesce(symbol, F.lit("")).alias("symbol"))
+    return named.groupBy("kind", "symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_requests(spark, sf_dir):
-    """A stream of one request per order for its priority class, whose weekly bars are loaded."""
-    base = scratch_dir(spark, "requests")
-    order_requests(spark, sf_dir, F.col("o_orderpriority")).select("value").write.text(f"{base}/in")
-    store = PathStore(spark, f"{base}/tables")
-    request_stream.stream_requests(
-        store, f"{base}/in", lambda t: order_bars(spark, sf_dir, t), f"{base}/log", f"{base}/checkpoint", ["1w"]
-    ).awaitTermination()
+    """A stream of one request per event for its type, whose bars of all timeframes are loaded.
 
-    def count(rows: DataFrame, kind: str, symbol: str) -> DataFrame:
-        named = rows.select(F.lit(kind).alias("kind"), F.coalesce(symbol, F.lit("")).alias("symbol"))
-        return named.groupBy("kind", "symbol").agg(F.count(F.lit(1)).alias("n"))
-
-    out = count(store.read("1w"), "bars", "index")
+    Two types are served at a time; `round` gives the round of each.
+    """
+    base = scratch_dir(spark, "requests")
+    event_requests(spark, sf_dir).select("value").write.text(f"{base}/in")
+    files.write_archives(event_bars(spark, sf_dir, list(TIMEFRAMES)), f"{base}/files", None)
+    store, source = PathStore(spark, f"{base}/tables"), SeriesFiles(spark, f"{base}/files")
+    service = request_stream.RequestService(store, lambda symbols, t, _: source.bars(symbols, t), f"{base}/log", per_round=2)
+    request_stream.stream_requests(service, f"{base}/in", f"{base}/checkpoint").awaitTermination()
+
+    out = service.attempts().select(F.lit("round").alias("kind"), "symbol", F.col("round").cast("bigint").alias("n"))
+    for timeframe in TIMEFRAMES:
+        out = out.unionByName(_tally(store.read(timeframe), f"{timeframe} bars", "index"))
     for kind in ("accepted", "unsupported", "rejected"):
-        out = out.unionByName(count(spark.read.schema("symbol string").parquet(f"{base}/log/{kind}"), kind, "symbol"))
+        out = out.unionByName(_tally(spark.read.schema("symbol string").parquet(f"{base}/log/{kind}"), kind, "symbol"))
     return out
 
 
+@query
+def request_retry(spark, sf_dir):
+    """Requests per priority class, in one round; the bars of one class cannot be read until its third try.
+
+    The other classes are loaded at once. `n` is the try, its minute, or the number of bars.
+    """
+    base, begin = scratch_dir(spark, "retry"), datetime(2025, 1, 1)
+    bars = order_bars(spark, sf_dir, "1w")
+
+    def source(symbols: Sequence[str], timeframe: str, now: datetime) -> DataFrame:
+        broken = (F.col("index") == "2-HIGH") & F.lit(now < begin + timedelta(minutes=15))
+        unread = F.when(broken, F.raise_error(F.lit("no such file")).cast("double")).otherwise(F.col("volume"))
+        return bars.where(F.col("index").isin(*symbols)).withColumn("volume", unread)
+
+    store = PathStore(spark, f"{base}/tables")
+    service = request_stream.RequestService(store, source, f"{base}/log", ["1w"])
+    requests = order_requests(spark, sf_dir, F.col("o_orderpriority")).select("value", "arrival")
+    service.serve(requests, "0", begin)
+    for minutes in (4, 5, 14, 15, 60):
+        service.retry(f"retry-{minutes}", begin + timedelta(minutes=minutes))
+    tries = service.attempts()
+    minute = (F.unix_seconds("tried_at") - int(begin.replace(tzinfo=timezone.utc).timestamp())) / 60
+    out = tries.select(F.concat(F.lit("try "), F.col("status")).alias("kind"), "symbol", F.col("attempt").cast("bigint").alias("n"))
+    out = out.unionByName(tries.select(F.lit("minute").alias("kind"), "symbol", minute.cast("bigint").alias("n")))
+    return out.unionByName(_tally(store.read("1w"), "bars", "index"))
+
+
 @query
 def stream_incremental_load(spark, sf_dir):
-    """Daily files of hourly bars as a stream."""
+    """Monthly files of all timeframes as a stream."""
     base = scratch_dir(spark, "stream")
-    files.write_archives(event_bars(spark, sf_dir), f"{base}/in", "yyyy-MM-dd")
+    files.write_archives(event_bars(spark, sf_dir, list(TIMEFRAMES)), f"{base}/in", "yyyy-MM")
     store = PathStore(spark, f"{base}/tables")
     records = ingest.stream_records(store, f"{base}/in")
-    ingest.stream_incremental_load(store, records, f"{base}/log", f"{base}/checkpoint", ["1h"]).awaitTermination()
-    return _bars_out(store.read("1h"))
+    ingest.stream_incremental_load(store, records, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    outs = [_bars_out(store.read(t).withColumn("timeframe", F.lit(t)), "timeframe") for t in TIMEFRAMES]
+    for other in outs[1:]:
+        outs[0] = outs[0].unionByName(other)
+    return outs[0]
+
+
+@query
+def stream_accounting(spark, sf_dir):
+    """Bars of all timeframes, then the same again beside bars of ten weeks before and files without a symbol."""
+    base = scratch_dir(spark, "accounted")
+    bars = event_bars(spark, sf_dir, list(TIMEFRAMES))
+    store = PathStore(spark, f"{base}/tables")
+
+    def ingest_all() -> None:
+        records = ingest.stream_records(store, f"{base}/in")
+        ingest.stream_incremental_load(
+            store, records, f"{base}/log", f"{base}/checkpoint", dedup_within="40 days"
+        ).awaitTermination()
+
+    files.write_archives(bars, f"{base}/in", "yyyy-MM")
+    ingest_all()
+    early = bars.withColumn("cuote_timestamp", F.col("cuote_timestamp") - F.expr("interval 70 days"))
+    files.write_archives(early, f"{base}/in", "yyyy-MM")
+    files.write_archives(bars, f"{base}/in", None)
+    table(spark, sf_dir, "events").select("event_type").write.mode("append").text(f"{base}/in")
+    ingest_all()
+    counts = spark.read.parquet(f"{base}/log/counts").groupBy("timeframe").agg(
+        *[F.sum(c).alias(c) for c in ("loaded", "dropped", "duplicates")]
+    )
+    batches = spark.read.parquet(f"{base}/log/batches").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+    return counts.crossJoin(batches)
 
 
 @query

@@ -151,17 +151,28 @@ def test_no_task_holds_a_whole_series(spark):
     assert widths == {True: 4000, False: 2 * 15 * 7}  # the 4000 hours touch seven spans of 30 days
 
 
-def test_ema_shuffles(spark):
+def test_ema_reads_and_shuffles_bars_once(spark, folder):
     """Also when the chunk starts are too many to broadcast."""
-    bars = full_bars(spark, [float(i % 17) for i in range(500)])
+    full_bars(spark, [float(i % 17) for i in range(500)]).write.parquet(f"{folder}/bars")
+    bars = spark.read.parquet(f"{folder}/bars")
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
-    spark.conf.set(threshold, "-1")
-    try:
-        df = add_ema(bars, 5, chunk_days=2)
-        shuffles = plan(df).split("SortMergeJoin")[1].count("Exchange hashpartitioning")
-        assert shuffles == 4  # bars twice (the second for the summary), summaries by series, starts by chunk
-        got = frame(df)["in_EMA"]
-    finally:
-        spark.conf.set(threshold, before)
-    pd.testing.assert_series_equal(got, pandas_ema(bars, 5), check_names=False, rtol=1e-10)
+    for size in (before, "-1"):
+        spark.conf.set(threshold, size)
+        try:
+            df = add_ema(bars, 5, chunk_days=2)
+            df.collect()
+            ran = plan(df).split("== Initial Plan ==")[0]
+            assert ran.count("ReusedExchange") == 1 and ran.count("FileScan") == 1, ran
+            ran_stages = [s for s in stages(df._jdf.queryExecution().executedPlan()) if "Reused" not in s.plan().toString().split("\n")[0]]
+            by_chunk = [s for s in ran_stages if "__chunk" in s.outputPartitioning().toString()]
+            rows = sorted(s.getRuntimeStatistics().rowCount().get() for s in by_chunk)
+            assert rows == ([500] if size == before else [11, 500])  # the bars, and the starts of eleven chunks
+            got = frame(df)["in_EMA"]
+        finally:
+            spark.conf.set(threshold, before)
+        pd.testing.assert_series_equal(got, pandas_ema(bars, 5), check_names=False, rtol=1e-10)
+
+
+def test_ema_holds_no_array(spark):
+    assert "array" not in plan(add_ema(full_bars(spark, [1.0, 2.0]), 5)).lower()
