@@ -241,7 +241,7 @@ ORACLE: dict[str, str] = {
     "stream_requests": f"""WITH routed AS (SELECT event_type AS symbol, CASE WHEN event_type = 'error' THEN 3 ELSE length(event_type) END AS priority,
           CASE user_id % 10 WHEN 0 THEN 'unsupported' WHEN 1 THEN 'rejected' ELSE 'accepted' END AS kind FROM events),
         served AS (SELECT symbol, max(priority) AS priority FROM routed WHERE kind = 'accepted' GROUP BY 1)
-        SELECT 'round' AS kind, symbol, (row_number() OVER (ORDER BY priority DESC) + 1) // 2 AS n FROM served
+        SELECT 'round' AS kind, symbol, (row_number() OVER (ORDER BY priority DESC) + 2) // 3 AS n FROM served
         UNION ALL SELECT timeframe || ' bars', "index", count(*) FROM ({_all(_events)})
           WHERE "index" IN (SELECT symbol FROM served) GROUP BY 1, 2
         UNION ALL SELECT kind, CASE kind WHEN 'rejected' THEN '' ELSE symbol END, count(*) FROM routed GROUP BY 1, 2""",

@@ -627,13 +627,13 @@ def _tally(rows: DataFrame, kind: str, symbol: str) -> DataFrame:
 def stream_requests(spark, sf_dir):
     """A stream of one request per event for its type, whose bars of all timeframes are loaded.
 
-    Two types are served at a time; `round` gives the round of each.
+    Three types are served at a time; `round` gives the round of each.
     """
     base = scratch_dir(spark, "requests")
     event_requests(spark, sf_dir).select("value").write.text(f"{base}/in")
     files.write_archives(event_bars(spark, sf_dir, list(TIMEFRAMES)), f"{base}/files", None)
     store, source = PathStore(spark, f"{base}/tables"), SeriesFiles(spark, f"{base}/files")
-    service = request_stream.RequestService(store, lambda symbols, t, _: source.bars(symbols, t), f"{base}/log", per_round=2)
+    service = request_stream.RequestService(store, lambda symbols, t, _: source.bars(symbols, t), f"{base}/log", per_round=3)
     request_stream.stream_requests(service, f"{base}/in", f"{base}/checkpoint").awaitTermination()
 
     out = service.attempts().select(F.lit("round").alias("kind"), "symbol", F.col("round").cast("bigint").alias("n"))
