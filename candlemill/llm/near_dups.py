@@ -13,8 +13,10 @@ samples make buckets: at similarity 0.8 some band agrees with probability 0.9998
 
 Buckets are not expanded into pairs. Members are paired with two hubs of their bucket;
 each document's most promising pair is verified by exact weighted Jaccard similarity,
-then the pairs that still join different classes. Then, in buckets of several classes, the members
-outside the largest class are compared with all others, so that no link inside a bucket is lost.
+then the pairs that still join different classes. What is left in buckets of several classes is joined by prefix
+filtering, which is exact: in one order of all shingles, the rarest first, similar texts share one of the
+first shingles, and what stands before the first shared one bounds their similarity. So texts that share a
+long passage and differ in the rest do not meet, as the rest comes first, and no link inside a bucket is lost.
 Verification streams texts past a few others that are held, dealt to many tasks: a
 document may have any number of partners, and only links leave a task.
 """
@@ -40,7 +42,7 @@ BANDS, ROWS = 16, 4
 STRENGTH, RARE = 0.25, 0.005
 BROADCAST_IDS = 1_000_000
 _DEALT = 256  # tasks the partners of one hub are dealt to at most
-_HELD = 64  # texts that others stream past
+_SLOTS = 1 << 20  # counters that put shingles in order of their commonness
 _SUMMARY = 1_000_000  # shingles behind one summary
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -266,75 +268,131 @@ def _checked(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataF
     return written(rows.mapInArrow(_verify(weights, least), "a bigint, b bigint"), "links")
 
 
-def _strays(weights, least: float):
-    """Rows sorted by bucket and part, the held ones first: links between different classes.
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(_SLOTS, np.int64)
+    for _, _, some in _texts(batches):
+        counts += np.bincount(_slots(distinct_shingles(some)[0]), minlength=_SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"slot": used.astype(np.int64), "n": counts[used]})
 
-    Two documents are compared in the first band in which they agree.
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * _MIX) >> np.uint64(64 - _SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def prefixes(
+    hashes: np.ndarray, weights: np.ndarray, number: np.ndarray, commonness: np.ndarray, least: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles by which a text can be found: their places, the weight before each, whether it is held, the texts' sizes.
+
+    Shingles stand in order of commonness, then hash, the same for all texts. If two texts are similar, the larger's
+    first shingles, of more than 1 - least of its weight, and the smaller's, of more than
+    1 - 2 * least / (1 + least) of its weight (those held), have one in common.
     """
+    owner, _ = runs(number)
+    order = np.lexsort((hashes, commonness, owner))
+    sizes = np.bincount(owner, weights, len(number))
+    summed = np.cumsum(weights[order])
+    starts = np.cumsum(number) - number
+    before = summed - weights[order] - np.concatenate([[0.0], summed])[starts][owner]
+    some = 1 + 1e-9
+    found = before <= (1 - least) * some * sizes[owner]
+    held = before <= (1 - 2 * least / (1 + least)) * some * sizes[owner]
+    return order[found], before[found], held[found], sizes
+
 
+def _prefix_rows(weights, counts, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, bands = None, [], np.zeros((0, 0), np.int64)
         for batch, start, some in _texts(batches):
-            part = batch.slice(start, len(some)).to_pydict()
-            hashes, counts, number = distinct_shingles(some)
-            values, ends = weights.value.of(hashes, counts), np.cumsum(number)
-            good = []
-            for i, here in enumerate(zip(part["bucket"], part["part"], strict=True)):
-                mine = slice(ends[i] - number[i], ends[i])
-                own, own_bands = (hashes[mine], values[mine]), np.array(part["buckets"][i])
-                if here != key:
-                    key, held, bands = here, [], np.zeros((0, len(own_bands)), np.int64)
-                if part["role"][i] == 0:
-                    held.append((part["id"][i], part["class"][i], own))
-                    bands = np.concatenate([bands, own_bands[None]])
-                    continue
-                first = (bands == own_bands).argmax(axis=1)
-                for k in np.flatnonzero(own_bands[first] == here[0]):
-                    other, label, its = held[k]
-                    if label != part["class"][i] and similarity(its, own) >= least:
-                        good.append((part["id"][i], other))
-            yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+            hashes, times, number = distinct_shingles(some)
+            common = counts.value[_slots(hashes)]
+            places, before, held, sizes = prefixes(hashes, weights.value.of(hashes, times), number, common, least)
+            shared = common[places] > 1  # others are in this text alone
+            owner = runs(number)[0][places[shared]]
+            ids = batch["id"].slice(start, len(some)).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "hash": hashes[places[shared]].view(np.int64), "id": ids[owner], "size": sizes[owner],
+                    "before": before[shared], "held": held[shared],
+                }
+            )
 
     return run
 
 
-def _leftover_links(members: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
-    """Links between members of a bucket that are still in different classes."""
+def _may_link(a: str, b: str, least: float):
+    """Whether two texts that share a shingle of their prefixes can be similar, by what stands before it.
+
+    It is checked at every shared shingle; at the first, all that the texts have in common stands behind.
+    """
+    part = lambda side, name: F.col(f"{side}.{name}" if side else name)
+    behind = F.least(*[part(side, "size") - part(side, "before") for side in (a, b)])
+    enough = behind >= (1 - 1e-9) * least / (1 + least) * (part(a, "size") + part(b, "size"))
+    smaller_held = F.when(part(a, "size") <= part(b, "size"), part(a, "held")).otherwise(part(b, "held"))
+    both = part(a, "held") | part(b, "held")
+    return enough & F.when(part(a, "size") == part(b, "size"), both).otherwise(smaller_held)
+
+
+def _classed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.select(F.col("vertex").alias("id"), "component")
-    classed = members.join(known, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("class"))
-    sizes = classed.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("strays"), F.count("*").alias("classes")
-    )
-    mixed = mixed.where("classes > 1").select("bucket", "largest", F.ceil(F.col("strays") / _HELD).cast("int").alias("parts"))
-    rows = written(classed.join(mixed, "bucket"), "mixed")
-    held = rows.where("class <> largest").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    streamed = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    every = held.withColumn("role", F.lit(0)).unionByName(streamed.withColumn("role", F.lit(1)))
-    bands = signed.join(rows.select("id").distinct(), "id", "left_semi").select("id", "buckets").dropDuplicates(["id"])
-    every = every.join(bands, "id").join(texts, "id").select("id", "bucket", "part", "role", "class", "buckets", "text")
-    ordered = every.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "role", "id")
-    return written(ordered.mapInArrow(_strays(weights, least), "a bigint, b bigint"), "leftover-links")
+    return rows.join(known, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
 
 
-def classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    least: float = SIMILARITY,
-    bands: int = BANDS,
-    rows: int = ROWS,
-) -> DataFrame:
-    """One row per document: doc_id, class_id (the smallest id of its class), kept.
+def _leftover_links(members: DataFrame, labels: DataFrame, texts: DataFrame, links: DataFrame, weights, least: float) -> DataFrame:
+    """Links between members of a bucket that are still in different classes, by prefix filtering.
 
-    Equal texts are one class, texts linked by weighted Jaccard similarity of `least` or more
-    too. Texts without words equal only themselves; NULL counts as empty. Ids are whole
-    numbers; rows that share an id are in one class if any two are; rows of NULL id are
-    compared with nothing, have a NULL class and are kept. Empty tables give no rows; other
-    columns are left out.
+    First each text meets, per shingle of its prefix, the one that has least weight before that shingle:
+    the middle of a group of near copies. Then texts outside a shingle's largest class meet all others they
+    can still be similar to.
     """
-    every = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text_of(text_col).alias("text"))
-    named = every.where("id is not null")
+    spark = texts.sparkSession
+    mixed = _classed(members, labels).groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    who = members.join(mixed.where("low <> high"), "bucket", "left_semi").select("id").distinct()
+    open_texts = written(texts.join(who, "id", "left_semi"), "open-texts")
+    slots = open_texts.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(_SLOTS, np.int64)
+    counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts.clip(max=(1 << 31) - 1).astype(np.int32))
+    kind = "hash bigint, id bigint, size double, before double, held boolean"
+    rows = written(open_texts.mapInArrow(_prefix_rows(weights, shared, least), kind), "prefixes")
+
+    classed = _classed(rows, labels)
+    middle = F.min(F.struct((F.col("before") / F.col("size")).alias("share"), "id", "class", "size", "before", "held")).alias("hub")
+    hubs = classed.groupBy("hash").agg(F.min("class").alias("low"), F.max("class").alias("high"), middle).where("low <> high")
+    met = classed.join(hubs.select("hash", "hub"), "hash").where((F.col("class") != F.col("hub.class")) & _may_link("", "hub", least))
+    met = written(met.select("id", F.col("hub.id").alias("hub")).distinct(), "middle-pairs")
+    found = _checked(met, open_texts, weights, least)
+    labels = written(components(links.unionByName(found)), "labels")
+
+    classed = written(_classed(rows, labels), "classed")
+    sizes = classed.groupBy("hash", "class").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("hash").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count("*").alias("classes"))
+    every = written(classed.join(largest.where("classes > 1").drop("classes"), "hash"), "mixed")
+    strays, others = every.where("class <> largest").alias("a"), every.alias("b")
+    pairs = strays.join(others, F.col("a.hash") == F.col("b.hash")).where((F.col("a.class") != F.col("b.class")) & _may_link("a", "b", least))
+    pairs = pairs.select(F.greatest("a.id", "b.id").alias("id"), F.least("a.id", "b.id").alias("hub")).distinct()
+    tried = met.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub"))
+    rest = _checked(written(pairs.join(tried, ["id", "hub"], "left_anti"), "stray-pairs"), open_texts, weights, least)
+    return found.unionByName(rest)
+
+
+def _vertices(rows: DataFrame) -> DataFrame:
+    """Adds `vertex`: the id, or for ids that stand before different texts a hash of id and text."""
+    texts_of = rows.where("id is not null").groupBy("id").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    shared = written(texts_of.where("low <> high").select("id", F.lit(True).alias("shared")), "shared-ids")
+    n = shared.count()
+    if not n:
+        return rows.withColumn("vertex", F.col("id"))
+    marked = rows.join(F.broadcast(shared) if n <= BROADCAST_IDS else shared, "id", "left")
+    return marked.withColumn("vertex", F.when(F.col("shared"), F.xxhash64("id", "hash")).otherwise(F.col("id"))).drop("shared")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, least: float, bands: int, rows: int) -> DataFrame:
+    """(id, hash, class_id, kept) of every row; see `classes`."""
+    text = text_of(text_col)
+    every = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    every = _vertices(every)
+    named = every.where("id is not null").select(F.col("vertex").alias("id"), "text")
     weights = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named))
     signed = written(named.mapInArrow(_bands(weights, bands, rows), "id bigint, digest binary, buckets array<bigint>"), "signatures")
     copies = written(signed.groupBy("digest").agg(F.min("id").alias("first")), "copies")
@@ -351,7 +409,7 @@ def classes(
     involved = pairs.select(F.col("id")).union(pairs.select("hub")).distinct()
     if pairs.count() <= BROADCAST_IDS:
         involved = F.broadcast(involved)
-    texts = written(named.join(involved, "id", "left_semi"), "texts")
+    texts = written(named.join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
     best = written(pairs.groupBy("id").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub")), "best")
     links = _checked(best, texts, weights, least)
     labels = written(components(links), "labels")
@@ -360,18 +418,54 @@ def classes(
     open_ = pairs.select("id", "hub").join(best, ["id", "hub"], "left_anti").join(of_id, "id", "left").join(of_hub, "hub", "left")
     links = written(links.unionByName(_checked(written(open_.where(apart).select("id", "hub"), "open"), texts, weights, least)), "links")
     labels = written(components(links), "labels")
-    links = links.unionByName(_leftover_links(members, labels, signed, texts, weights, least))
-    joined = components(links.unionByName(same)).withColumnRenamed("vertex", "id")
-    found = every.select("id").join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("class_id"))
-    return found.select(
-        F.col("id").alias("doc_id"), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept")
-    )
+    links = links.unionByName(_leftover_links(members, labels, texts, links, weights, least))
+    joined = components(links.unionByName(same))
+    found = every.select("id", "hash", "vertex").join(joined, "vertex", "left").withColumn("class", F.coalesce("component", "vertex"))
+    # Of a class the smallest id is kept, which need not be the smallest vertex where ids are shared.
+    first = found.where("id is not null").groupBy("class").agg(F.min(F.struct("id", "vertex")).alias("first"))
+    found = found.join(first, "class", "left")
+    kept = F.coalesce(F.col("vertex") == F.col("first.vertex"), F.lit(True))
+    return found.select("id", "hash", F.col("first.id").alias("class_id"), kept.alias("kept"))
+
+
+def classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """One row per document: doc_id, class_id (the smallest id of its class), kept.
 
+    Equal texts are one class, texts linked by weighted Jaccard similarity of `least` or more
+    too. Texts without words equal only themselves; NULL counts as empty. Ids are whole
+    numbers; rows of one id and text are one document, rows of one id and different texts are
+    documents of their own, with classes of their own, which may bear the same class_id. Rows of NULL id are
+    compared with nothing, have a NULL class and are kept. Of a class the document with the smallest id is
+    kept. Empty tables give no rows; other columns are left out.
+    """
+    found = _labelled(docs, id_col, text_col, least, bands, rows)
+    return found.select(F.col("id").alias("doc_id"), "class_id", "kept")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """One document of each class, the one with the smallest id; rows of NULL id stay.
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each class, the one with the smallest id; rows of NULL id stay. Of repeated rows one stays."""
-    name = fresh(docs, "class")
-    gone = classes(docs, id_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    left = docs.join(gone, F.col(f"`{id_col}`").cast("bigint") == F.col(name), "left_anti")
+    Of rows that repeat id and text one stays; rows that share an id only are judged each by its text.
+    """
+    name, digest = fresh(docs, "class"), fresh(docs, "digest")
+    gone = _labelled(docs, id_col, text_col, least, bands, rows).where(~F.col("kept"))
+    gone = gone.select(F.col("id").alias(name), F.col("hash").alias(f"{digest}_")).distinct()
+    hashed = docs.withColumn(digest, F.xxhash64(text_of(text_col)))
+    mine = (F.col(f"`{id_col}`").cast("bigint") == F.col(name)) & (F.col(digest) == F.col(f"{digest}_"))
+    left = hashed.join(gone, mine, "left_anti")
     named = F.col(f"`{id_col}`").isNotNull()
-    return left.where(named).dropDuplicates([id_col]).unionByName(left.where(~named))
+    return left.where(named).dropDuplicates([id_col, digest]).unionByName(left.where(~named)).drop(digest)

@@ -89,7 +89,7 @@ def test_awkward_rows(spark):
     for r in n.classes(clashing(awkward(spark), "class_id", "kept")).collect():
         got.setdefault(r["doc_id"], set()).add((r["class_id"], r["kept"]))
     assert got == {1: {(1, True)}, 2: {(1, False)}, 3: {(3, True)}, 4: {(4, True)}, 5: {(5, True)}, 6: {(5, False)}, 7: {(7, True)}, 8: {(8, True)}, None: {(None, True)}}
-    kept = n.keep_one(clashing(awkward(spark), "class"))
+    kept = n.keep_one(clashing(awkward(spark), "class", "digest", "digest_"))
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 7, 8]
     assert n.classes(empty(spark)).count() == 0
     assert n.keep_one(docs(spark, [(1, LONG), (2, LONG + " end")])).count() == 1
@@ -115,3 +115,70 @@ def test_components_of_large_ids(spark):
 def test_fingerprint_of_many_edges(spark):
     edges = spark.range(20_000_000).selectExpr("id + 1 as u", "id as v")
     assert fingerprint(edges) == fingerprint(edges.repartition(3)) != fingerprint(edges.where("u <> 5"))
+
+
+def test_shared_ids_lose_no_text(spark):
+    rng = random.Random(8)
+    one, two, three = (words(rng, 60) for _ in range(3))
+    near = [" ".join(changed(rng, base, 1)) for base in (one, two)]
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (1, " ".join(two)), (0, near[0]), (5, near[1]), (7, " ".join(three))]
+    got = sorted({(r["doc_id"], r["class_id"], r["kept"]) for r in n.classes(docs(spark, rows)).collect()})
+    assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (5, 1, False), (7, 7, True)]
+    kept = [(r["doc_id"], r["text"]) for r in n.keep_one(docs(spark, rows)).collect()]
+    assert sorted(kept) == sorted([(0, near[0]), (1, " ".join(two)), (7, " ".join(three))])
+
+
+def sharing(count, share=74, seed=5):
+    """Texts that share a passage of `share` of their 100 words and nothing else."""
+    rng = random.Random(seed)
+    passage = words(rng, share)
+    return [(i, " ".join(passage + words(rng, 100 - share))) for i in range(count)]
+
+
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    rows, seen = {}, n.written
+    for count in (300, 1200):
+
+        def spied(df, label, count=count):
+            out = seen(df, label)
+            rows[label, count] = rows.get((label, count), 0) + out.count()
+            return out
+
+        monkeypatch.setattr(n, "written", spied)
+        found = n.classes(docs(spark, sharing(count)))
+        assert found.select("class_id").distinct().count() == count
+        # Each text is checked against a bounded number of others, whatever their number.
+        assert rows["stray-pairs", count] + rows["middle-pairs", count] + rows["pairs", count] <= 40 * count
+        assert rows.get(("prefixes", count), 0) <= 40 * count
+    assert rows["open-texts", 1200] > 100
+
+
+def test_prefix_filter_loses_no_pair():
+    """Any two similar weighted sets share a shingle that the filter lets pass."""
+    rng = np.random.default_rng(4)
+    universe = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    common = {h: c for h, c in zip(universe, rng.integers(0, 5, 60), strict=True)}
+    sets = []
+    for _ in range(150):
+        base = universe[:40] if rng.random() < 0.8 else universe
+        chosen = np.sort(rng.choice(base, rng.integers(len(base) - 8, len(base) + 1), replace=False))
+        sets.append((chosen, np.where(rng.random(len(chosen)) < 0.05, 2, 1) * 1.25))
+    least, found = 0.8, []
+    for h, w in sets:
+        places, before, held, sizes = n.prefixes(h, w, np.array([len(h)]), np.array([common[x] for x in h]), least)
+        found.append((float(sizes[0]), {h[p]: (b, k) for p, b, k in zip(places, before, held, strict=True)}))
+    similar = passed = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            (size_a, a), (size_b, b) = found[i], found[j]
+            small, large = ((a, b) if size_a <= size_b else (b, a))
+            lets = any(
+                x in large and (small[x][1] or (size_a == size_b and large[x][1]))
+                and min(size_a - a[x][0], size_b - b[x][0]) >= (1 - 1e-9) * least / (1 + least) * (size_a + size_b)
+                for x in small
+            )
+            passed += lets
+            if n.similarity(sets[i], sets[j]) >= least:
+                similar += 1
+                assert lets
+    assert similar > 100 and passed < 150 * 149 / 2
