@@ -12,8 +12,7 @@ each with the probability of their weighted Jaccard similarity. BANDS bands of R
 samples make buckets: at similarity 0.8 some band agrees with probability 0.9998.
 
 Buckets are not expanded into pairs. Members are paired with two hubs of their bucket;
-each document's most promising pair is verified by exact weighted Jaccard similarity,
-then the pairs that still join different classes. What is left in buckets of several classes is joined by prefix
+each document's most promising pair is verified by exact weighted Jaccard similarity. What is left in buckets of several classes is joined by prefix
 filtering, which is exact: in one order of all shingles, the rarest first, similar texts share one of the
 first shingles, and what stands before the first shared one bounds their similarity. So texts that share a
 long passage and differ in the rest do not meet, as the rest comes first, and no link inside a bucket is lost.
@@ -413,11 +412,6 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, least: float, bands:
     best = written(pairs.groupBy("id").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub")), "best")
     links = _checked(best, texts, weights, least)
     labels = written(components(links), "labels")
-    of_id, of_hub = (labels.select(F.col("vertex").alias(c), F.col("component").alias(f"{c}_class")) for c in ("id", "hub"))
-    apart = F.coalesce("id_class", "id") != F.coalesce("hub_class", "hub")
-    open_ = pairs.select("id", "hub").join(best, ["id", "hub"], "left_anti").join(of_id, "id", "left").join(of_hub, "hub", "left")
-    links = written(links.unionByName(_checked(written(open_.where(apart).select("id", "hub"), "open"), texts, weights, least)), "links")
-    labels = written(components(links), "labels")
     links = links.unionByName(_leftover_links(members, labels, texts, links, weights, least))
     joined = components(links.unionByName(same))
     found = every.select("id", "hash", "vertex").join(joined, "vertex", "left").withColumn("class", F.coalesce("component", "vertex"))
