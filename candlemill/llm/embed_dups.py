@@ -193,8 +193,16 @@ def find_duplicates(
         (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0), F.lit(False)
     )
     distinct = written(
-        rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors"
+        rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")), "vectors"
     )
+    # A vector goes by its smallest id, or by a hash of its own where several vectors have the same.
+    shared = written(distinct.groupBy("first").agg(F.count("*").alias("vectors")).where("vectors > 1"), "shared-ids")
+    ids_are_shared = not shared.isEmpty()
+    if ids_are_shared:
+        own = F.when(F.col("vectors").isNotNull(), F.xxhash64("embedding", "first")).otherwise(F.col("first"))
+        distinct = written(distinct.join(shared, "first", "left").withColumn("rep", own).drop("vectors"), "vectors")
+    else:
+        distinct = distinct.withColumn("rep", F.col("first"))
     placed = distinct.select("rep", "copies", "embedding", F.posexplode(_hasher(tables, hashes)("embedding")).alias("number", "bucket"))
     sizes = written(
         placed.groupBy("number", "bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "full-buckets"
@@ -220,8 +228,11 @@ def find_duplicates(
     classes = (
         distinct.join(links, "rep", "left")
         .join(roots.withColumnRenamed("vertex", "rep"), "rep", "left")
-        .select("embedding", "copies", "links", F.coalesce("component", "rep").alias("component"))
+        .select("embedding", "first", "copies", "links", F.coalesce("component", "rep").alias("component"))
     )
+    if ids_are_shared:  # the smallest key of a component need not be its smallest id then
+        named = classes.groupBy("component").agg(F.min("first").alias("named"))
+        classes = classes.join(named, "component").withColumn("component", F.col("named")).drop("named")
     good = rows.where(usable).join(classes, "embedding").select(
         "vec_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

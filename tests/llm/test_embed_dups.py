@@ -76,3 +76,12 @@ def test_collision_probability():
     y = 0.9 * x + np.sqrt(1 - 0.81) * z
     met = (e.buckets(x) == e.buckets(y)).any(axis=1)
     assert met.mean() > 0.96
+
+
+def test_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (5, [0.0, 1.0, 0.02]), (9, [0.0, 0.0, 1.0]), (1, [0.0, 1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in e.find_duplicates(table).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (5, 2, 1, False), (9, 0, 9, True)]
+    alone = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01])], "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links) for r in e.find_duplicates(alone).collect()) == [(1, 0), (1, 1), (2, 1)]
