@@ -140,6 +140,7 @@ _NEWEST_ORDERS = """SELECT c_custkey AS _id, round(c_acctbal, 6) AS amount, CAST
 
 ORACLE: dict[str, str] = {
     "bars_from_events": f"SELECT timeframe, {_BAR} FROM ({_all(_events)})",
+    "roll_up": f"SELECT timeframe, {_BAR} FROM ({_all(_events, ['1d', '1w'])})",
     "stream_bars": _HOURLY,
     "stream_bars_late": _HOURLY,
     "load_accounting": """SELECT CAST(run AS INTEGER) AS run, CASE WHEN run = 1 THEN bars ELSE 0 END AS loaded,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlemill.functions import scalar, temporal, text
 from candlemill.functions.sql import register_functions
+from candlemill.operators import bars as bar_operators
 from candlemill.operators import dedup, indicators, marks, moving, ranking
 from candlemill.operators.ema import add_ema
 from candlemill.plans import backfill, compact, load
@@ -83,6 +84,13 @@ def bars_from_events(spark, sf_dir):
     return _bars_out(event_bars(spark, sf_dir, list(TIMEFRAMES)), "timeframe")
 
 
+@query
+def roll_up(spark, sf_dir):
+    """Daily and weekly bars from stored hourly bars."""
+    stored = _stored(spark, sf_dir).read("1h")
+    return _bars_out(bar_operators.roll_up(stored, ["1d", "1w"]), "timeframe")
+
+
 @query
 def moving_average(spark, sf_dir):
     df = moving.add_moving_average(event_bars(spark, sf_dir), "cuote_close", 14, "value")
