@@ -183,14 +183,17 @@ def replace_by_key(
     """Replace stored rows by key, insert new keys; rewrites only touched partitions.
 
     Touched are the partitions of the updates and those that hold a row to be
-    replaced. A partition whose last row moves elsewhere is removed.
+    replaced. A key with symbol and time tells its partition, so only these partitions are read; for other
+    keys the table is searched first. A partition whose last row moves elsewhere is removed.
     """
     keys = list(partition_columns(timeframe))
-    updates = updates.withColumns(calendar_columns())
-    stored = store.read(timeframe)
-    replaced = stored.join(updates.select(*key).distinct(), list(key), "left_semi")
-    touched = written(replaced.select(*keys).union(updates.select(*keys)).distinct(), "touched")
-    rows = upsert_replace(stored.join(touched, keys, "left_semi"), updates.select(*stored.columns), key)
-    rows = written(rows, "replaced")
+    with staged(updates.withColumns(calendar_columns()), "updates") as news:
+        touched = news.select(*keys)
+        if not {"index", "cuote_timestamp"} <= set(key):
+            replaced = store.read(timeframe).join(news.select(*key).distinct(), list(key), "left_semi")
+            touched = touched.union(replaced.select(*keys))
+        touched = written(touched.distinct(), "touched")
+        stored = store.read_partitions(timeframe, touched)
+        rows = written(upsert_replace(stored, news.select(*stored.columns), key), "replaced")
     store.overwrite_partitions(timeframe, rows)
     store.drop_partitions(timeframe, touched.join(rows.select(*keys).distinct(), keys, "left_anti"))

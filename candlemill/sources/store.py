@@ -33,6 +33,7 @@ from candlemill.session import written
 
 _BROADCAST_ROWS = 1_000_000  # of a symbol and a date: some tens of megabytes
 _STATEMENT_PARTITIONS = 500
+_NAMED_SYMBOLS = 1_000  # symbols whose folders are listed one by one
 
 _LISTING = T.StructType(
     [
@@ -82,7 +83,7 @@ class BarStore:
     def _append(self, timeframe: str, rows: DataFrame) -> None:
         raise NotImplementedError
 
-    def _partitions(self, timeframe: str) -> DataFrame:
+    def _partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
         raise NotImplementedError
 
     def overwrite_partitions(self, timeframe: str, rows: DataFrame) -> None:
@@ -104,15 +105,29 @@ class BarStore:
         """Bars of one symbol; reads only its partitions."""
         return self.read(timeframe).where(F.col("index") == F.lit(index))
 
-    def partitions(self, timeframe: str) -> DataFrame:
-        """Partition values, without opening a data file."""
+    def partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
+        """Partition values, of all symbols or of those named, without opening a data file."""
         if not self.exists(timeframe):
             return self.spark.createDataFrame([], T.StructType(partition_fields(timeframe)))
-        return self._partitions(timeframe)
+        return self._partitions(timeframe, symbols)
 
-    def newest_partitions(self, timeframe: str) -> DataFrame:
-        """Newest partition of every symbol."""
-        partitions = self.partitions(timeframe)
+    def read_partitions(self, timeframe: str, partitions: DataFrame) -> DataFrame:
+        """Bars in the given partitions (distinct; a written table, as it is read twice).
+
+        The bounds of their dates go into the scan as plain filters, which prunes whatever their number. Up to
+        `_BROADCAST_ROWS` of them are broadcast and prune to exactly these partitions; beyond, they join by shuffle.
+        """
+        keys = list(partition_columns(timeframe))
+        count, low, high = partitions.agg(F.count(F.lit(1)), F.min(keys[1]), F.max(keys[1])).first()
+        bars = self.read(timeframe)
+        if low is None:
+            return bars.where(F.lit(False))
+        bars = bars.where(F.col(keys[1]).between(F.lit(low), F.lit(high)))
+        return bars.join(F.broadcast(partitions) if count <= _BROADCAST_ROWS else partitions, keys, "left_semi")
+
+    def newest_partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
+        """Newest partition of every symbol, or of those named."""
+        partitions = self.partitions(timeframe, symbols)
         if "cuote_date" in partition_columns(timeframe):
             return latest_partition_date(partitions)
         return latest_partition_year_month(partitions)
@@ -120,26 +135,20 @@ class BarStore:
     def read_last_partitions(self, timeframe: str, symbols: DataFrame | None = None) -> DataFrame:
         """Bars in the newest partition of every symbol, or of those in `symbols`.
 
-        The newest partitions come from the listing and are written down, one small
-        row per symbol. Their oldest date goes into the scan as a plain bound, which
-        prunes whatever the number of symbols. Up to `_BROADCAST_ROWS` of them are
-        broadcast and prune to exactly the newest partitions; beyond, they join by
-        shuffle.
+        The newest partitions come from the listing and are written down, one small row per symbol.
+        Of a few symbols only their own folders are listed.
         """
         if not self.exists(timeframe):
             return self.read(timeframe)
-        keys = list(partition_columns(timeframe))
-        newest = self.newest_partitions(timeframe)
+        names = None
         if symbols is not None:
-            newest = newest.join(symbols.select("index").distinct(), "index", "left_semi")
-        newest = written(newest, "newest")
-        oldest = F.min(F.struct(*keys[1:]))
-        count, bound = newest.agg(F.count(F.lit(1)), oldest).first()
-        bars = self.read(timeframe)
-        if bound is None:
-            return bars.where(F.lit(False))
-        bars = bars.where(F.col(keys[1]) >= F.lit(bound[0]))
-        return bars.join(F.broadcast(newest) if count <= _BROADCAST_ROWS else newest, keys, "left_semi")
+            symbols = symbols.select("index").distinct()
+            some = [row[0] for row in symbols.limit(_NAMED_SYMBOLS + 1).collect()]
+            names = [n for n in some if n is not None] if len(some) <= _NAMED_SYMBOLS else None
+        newest = self.newest_partitions(timeframe, names)
+        if symbols is not None:
+            newest = newest.join(symbols, "index", "left_semi")
+        return self.read_partitions(timeframe, written(newest, "newest"))
 
     def marks(self, timeframe: str, symbols: DataFrame | None = None) -> DataFrame:
         """High-water mark per symbol, read from newest partitions only."""
@@ -203,19 +212,35 @@ class PathStore(BarStore):
     def _read(self, timeframe: str) -> DataFrame:
         return self.spark.read.schema(stored_schema(timeframe)).parquet(self.location(timeframe))
 
-    def files(self, timeframe: str) -> DataFrame:
-        """Data files and their partition values from the listing; no file is opened."""
+    def folders(self, timeframe: str, symbols: list[str]) -> list[str]:
+        """The folders of the symbols, of those that have one; nothing else is listed."""
+        jvm, found = self.spark._jvm, []
+        for symbol in symbols:
+            name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("index", symbol)
+            path = jvm.org.apache.hadoop.fs.Path(self.location(timeframe), name)
+            if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+                found.append(path.toString())
+        return found
+
+    def read_market(self, index: str, timeframe: str) -> DataFrame:
+        """Bars of one symbol; only its folder is listed and read."""
+        folders = self.folders(timeframe, [index])
+        if not folders:
+            return self.spark.createDataFrame([], stored_schema(timeframe))
+        reader = self.spark.read.schema(stored_schema(timeframe)).option("basePath", self.location(timeframe))
+        return reader.parquet(*folders).where(F.col("index") == F.lit(index))
+
+    def files(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
+        """Data files and their partition values from the listing, of all symbols or of those named; no file is opened."""
         schema = T.StructType(_LISTING.fields + partition_fields(timeframe))
-        return (
-            self.spark.read.format("binaryFile")
-            .schema(schema)
-            .option("pathGlobFilter", "*.parquet")
-            .load(self.location(timeframe))
-            .drop("content")
-        )
+        folders = [self.location(timeframe)] if symbols is None else self.folders(timeframe, symbols)
+        if not folders:
+            return self.spark.createDataFrame([], schema).drop("content")
+        reader = self.spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
+        return reader.option("basePath", self.location(timeframe)).load(folders).drop("content")
 
-    def _partitions(self, timeframe: str) -> DataFrame:
-        return self.files(timeframe).select(*partition_columns(timeframe)).distinct()
+    def _partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
+        return self.files(timeframe, symbols).select(*partition_columns(timeframe)).distinct()
 
     def _append(self, timeframe: str, rows: DataFrame) -> None:
         keys = partition_columns(timeframe)
@@ -264,8 +289,10 @@ class CatalogStore(BarStore):
     def partition_strings(self, timeframe: str) -> DataFrame:
         return self.spark.sql(f"SHOW PARTITIONS {self.table(timeframe)}")
 
-    def _partitions(self, timeframe: str) -> DataFrame:
+    def _partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
         shown = self.partition_strings(timeframe).withColumn("index", url_decoded(partition_symbol("partition")))
+        if symbols is not None:
+            shown = shown.where(F.col("index").isin(symbols))
         if "cuote_date" in partition_columns(timeframe):
             return shown.select("index", partition_date("partition").alias("cuote_date"))
         ym = partition_year_month("partition")
