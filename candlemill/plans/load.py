@@ -171,10 +171,9 @@ def full_reload(store: BarStore, bars: DataFrame, timeframe: str) -> None:
 
 
 def drop_symbols(store: BarStore, timeframe: str, symbols: Sequence[str]) -> None:
-    """Remove all partitions of the given symbols."""
+    """Remove everything stored of the given symbols."""
     if store.exists(timeframe):
-        parts = store.partitions(timeframe).where(F.col("index").isin(*symbols))
-        store.drop_partitions(timeframe, written(parts, "drop"))
+        store.drop_symbols(timeframe, list(symbols))
 
 
 def replace_by_key(

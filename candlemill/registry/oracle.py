@@ -185,7 +185,8 @@ ORACLE: dict[str, str] = {
     "epoch_normalize": "SELECT event_id, date_trunc('second', ts) AS cuote_timestamp FROM events",
     "calendar_columns": f"SELECT o_orderkey, {_CALENDAR} FROM (SELECT *, o_orderdate AS cuote_timestamp FROM orders)",
     "csv_bar_scan": f"SELECT timeframe, {_CALENDAR}, {_BAR} FROM ({_events('1h')})",
-    "archive_scan": f"""SELECT timeframe, strftime(cuote_timestamp, '%Y-%m') AS period, {_BAR} FROM ({_all(_orders, ["1d", "1w"])})
+    "archive_scan": f"""SELECT timeframe, strftime(cuote_timestamp, '%Y-%m') AS period, {_CALENDAR}, {_BAR} FROM ({_all(_orders, ["1d", "1w"])})""",
+    "archive_scan_since": f"""SELECT timeframe, strftime(cuote_timestamp, '%Y-%m') AS period, {_BAR} FROM ({_all(_orders, ["1d", "1w"])})
         WHERE cuote_timestamp >= TIMESTAMP '1997-01-01'""",
     "zip_archive_scan": f"SELECT timeframe, strftime(cuote_timestamp, '%Y-%m-%d') AS period, {_BAR} FROM ({_events('30m')})",
     "bad_rows": "SELECT event_type || ',' || event_id AS line FROM events WHERE event_type = 'error'",

@@ -16,7 +16,7 @@ from candlemill.operators.ema import add_ema
 from candlemill.plans import backfill, compact, load
 from candlemill.registry import files
 from candlemill.registry.files import event_bars, event_requests, order_bars, order_requests, table
-from candlemill.schema import COLLECTIONS, CORRUPT, TIMEFRAMES, table_name_column
+from candlemill.schema import COLLECTIONS, CORRUPT, TIMEFRAMES, stored_schema, table_name_column
 from candlemill.session import scratch_dir, use_utc
 from candlemill.sources import archives, catalogue, csv_bars
 from candlemill.sources.collection import Collection, CollectionStore
@@ -270,6 +270,14 @@ def csv_bar_scan(spark, sf_dir):
 
 @query
 def archive_scan(spark, sf_dir):
+    """All monthly archives of all series of two timeframes, one after the other."""
+    folder = scratch_dir(spark, "archives")
+    files.write_archives(order_bars(spark, sf_dir, ["1d", "1w"]), folder, "yyyy-MM")
+    return _bars_out(csv_bars.read_bars(spark, folder), "timeframe", "period", "cuote_date", "cuote_year", "cuote_month")
+
+
+@query
+def archive_scan_since(spark, sf_dir):
     """Monthly archives of two timeframes, read from January 1997 on."""
     folder = scratch_dir(spark, "archives")
     files.write_archives(order_bars(spark, sf_dir, ["1d", "1w"]), folder, "yyyy-MM")
@@ -337,7 +345,7 @@ def partitioned_append(spark, sf_dir):
 @query
 def table_scan(spark, sf_dir):
     store = _stored(spark, sf_dir)
-    return _bars_out(read_table(spark, store.location("1d")).withColumn("index", F.col("index").cast("string")))
+    return _bars_out(read_table(spark, store.location("1d"), schema=stored_schema("1d")))
 
 
 @query

@@ -95,6 +95,10 @@ class BarStore:
         raise NotImplementedError
 
     # shared
+    def drop_symbols(self, timeframe: str, symbols: list[str]) -> None:
+        """Remove all partitions of the symbols."""
+        self.drop_partitions(timeframe, written(self.partitions(timeframe, symbols), "drop"))
+
     def read(self, timeframe: str) -> DataFrame:
         """All stored bars; empty if nothing is stored yet."""
         if not self.exists(timeframe):
@@ -222,6 +226,13 @@ class PathStore(BarStore):
                 found.append(path.toString())
         return found
 
+    def drop_symbols(self, timeframe: str, symbols: list[str]) -> None:
+        """Remove the folders of the symbols, one call each."""
+        conf = self.spark._jsc.hadoopConfiguration()
+        for folder in self.folders(timeframe, symbols):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
     def read_market(self, index: str, timeframe: str) -> DataFrame:
         """Bars of one symbol; only its folder is listed and read."""
         folders = self.folders(timeframe, [index])

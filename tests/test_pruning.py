@@ -80,3 +80,10 @@ def test_replacing_by_another_key_moves_rows(spark, store):
     load.replace_by_key(store, row, "1h", ["index", "cuote_open"])
     rows = store.read_market("A", "1h").where("cuote_open = 59").collect()
     assert [r.cuote_timestamp for r in rows] == [START + timedelta(days=9)] and store.read("1h").count() == before
+
+
+def test_dropping_symbols_by_their_folders(store, monkeypatch):
+    monkeypatch.setattr(PathStore, "files", lambda *_: pytest.fail("the table was listed"))
+    load.drop_symbols(store, "1h", ["A", "{A,B}", "none"])
+    assert {r["index"] for r in store.read("1h").select("index").distinct().collect()} == set(ODD) - {"A", "{A,B}"}
+    load.drop_symbols(store, "4h", ["A"])
