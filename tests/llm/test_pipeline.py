@@ -10,7 +10,7 @@ from candlemill.llm.queries import QUERIES, VOCABULARY
 def test_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
 
 
