@@ -1,7 +1,11 @@
 """A training corpus in five stages, each an operator of `candlemill.llm`.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. The
-first four return the columns of `documents`, the last one the encoded documents.
+first four return the columns of `documents`, further ones included, the last one the encoded documents.
+
+NULL texts count as empty and are judged like any other; long texts are judged whole. Rows of
+NULL id are never labelled and never near copies. Of rows that repeat id and text near-dedup keeps one;
+rows that share an id only are judged each by its text there. Empty tables stay empty.
 """
 
 from __future__ import annotations
