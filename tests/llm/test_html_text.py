@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from cases import clashing
@@ -65,3 +66,36 @@ def test_menus_without_names_stay_out():
     menu = "<div>" + "<ul>" + "<li><a href=x>go</a></li>" * 30 + "</ul></div>"
     page = f"<body>{menu}<div>{f'<p>{WORDS}</p>' * 6}</div></body>"
     assert h.main_text(page) == "\n".join([WORDS.strip()] * 6)
+
+
+BODY = f"<div class=body>{f'<p>{WORDS}</p>' * 8}</div>"
+AROUND = {
+    # title and lead above the element of the text
+    f"<body><div id=page><h1>Title</h1><p class=lead>A short lead.</p>{BODY}</div></body>": ["Title", "A short lead.", *[WORDS] * 8],
+    # a short last paragraph in an element of its own, but no legal line
+    f"<body>{BODY}<div><p>The end.</p></div><div><p>\u00a9 2020 Someone.</p></div></body>": [*[WORDS] * 8, "The end."],
+    f"<body>{BODY}<section><h2>More</h2><p>Short.</p></section></body>": [*[WORDS] * 8, "More", "Short."],
+    # the title in the article's header, without the byline
+    f"<body><article><header><h1>Title</h1><span>by me</span></header><p>{WORDS}</p></article></body>": ["Title", WORDS],
+    f"<body><header><h1>Site</h1></header><article><p>{WORDS}</p></article></body>": [WORDS],
+    # a menu without a name in the element of the text; a list with text stays
+    f"<body><div>{'<ul>' + '<li><a href=x>go on</a>' * 3 + '</ul>'}<p>{WORDS}</p><ul><li><a href=x>one</a><li>two</ul></div></body>": [WORDS, "one", "two"],
+    f"<body>{BODY}<div class=gdpr-box>We keep data.</div><div class=user-responses><p>{WORDS}</p></div></body>": [WORDS] * 8,
+}
+
+
+@pytest.mark.parametrize("page", AROUND)
+def test_blocks_around_the_text(page):
+    assert h.main_text(page) == "\n".join(" ".join(b.split()) for b in AROUND[page])
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<ul><p>x", "<tr><div>", "<tbody>x", "<i></b>", "<a ", "<!--", "<![", "<!", "</a ", '<a x="', "<script>"])
+def test_markup_without_an_end_takes_linear_time(piece):
+    begin = time.process_time()
+    h.main_text("<p>text</p>" + piece * 100_000)
+    assert time.process_time() - begin < 10
+
+
+def test_odd_declarations():
+    assert h.main_text("<p>a<![foo]>b<![if x]>c<!x>d<!---->e<!-->f") == "abcdef"
+    assert h.main_text("<p>text</p><!-- no end <p>more</p>") == "text"
