@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,32 +66,46 @@ def shingle_hashes(texts: list[bytes], size: int = WORDS) -> tuple[np.ndarray, n
     Fewer than `size` words are one shingle, no words none.
     """
     get = _WORD_HASHES.__getitem__
-    hashed = [np.fromiter(map(get, w), np.uint64, len(w)) for w in (t.translate(WORD_BYTES).split() for t in texts)]
-    counts = np.fromiter(map(len, hashed), np.int64, len(hashed))
-    flat = np.concatenate([np.zeros(0, np.uint64), *hashed])
-    owner, place = runs(counts)
-    rolled = np.zeros(len(flat), np.uint64)
-    for i in range(size):
-        # Word i of the shingle that begins here; words beyond a short text are zero.
-        shifted = np.zeros(len(flat), np.uint64)
-        shifted[: max(0, len(flat) - i)] = flat[i:]
-        shifted[place + i >= counts[owner]] = 0
-        rolled = (rolled ^ shifted) * _MIX
-        rolled ^= rolled >> np.uint64(32)
+    split = [t.translate(WORD_BYTES).split() for t in texts]
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    flat = np.fromiter(map(get, chain.from_iterable(split)), np.uint64, int(counts.sum()))
     number = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    return rolled[place < number[owner]], number
+    starts = np.cumsum(counts) - counts
+    # A shingle of a text with enough words stays inside the text; what stands before the next text is left out.
+    rolled = np.zeros(len(flat), np.uint64)
+    for i in range(min(size, len(flat))):
+        _roll(rolled[: len(flat) - i], flat[i:])
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    if len(short):
+        single = np.zeros(len(short), np.uint64)
+        for i in range(size):  # words beyond the text are zero
+            at = np.minimum(starts[short] + i, len(flat) - 1)
+            _roll(single, np.where(i < counts[short], flat[at], np.uint64(0)))
+        rolled[starts[short]] = single
+    owner, place = runs(number)
+    place += starts[owner]
+    return rolled[place], number
+
+
+def _roll(rolled: np.ndarray, words: np.ndarray) -> None:
+    """Take one more word into each of the hashes, in place."""
+    rolled ^= words
+    rolled *= _MIX
+    rolled ^= rolled >> np.uint64(32)
 
 
 def distinct_shingles(texts: list[bytes], size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each text, their counts, and how many each text has."""
     hashes, number = shingle_hashes(texts, size)
-    owner, _ = runs(number)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+    ends = np.cumsum(number)
     first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    for begin, end in zip((ends - number).tolist(), ends.tolist(), strict=True):
+        hashes[begin:end].sort()
+    first[1:] = hashes[1:] != hashes[:-1]
+    first[(ends - number)[number > 0]] = True
     at = np.flatnonzero(first)
-    return hashes[at], np.diff(np.append(at, len(hashes))), np.bincount(owner[at], minlength=len(texts))
+    kept = np.concatenate([[0], np.cumsum(first)])
+    return hashes[at], np.diff(np.append(at, len(hashes))), kept[ends] - kept[ends - number]
 
 
 class Weights:
@@ -193,14 +208,21 @@ def band_buckets(hashes: np.ndarray, weights: np.ndarray, number: np.ndarray, ba
     owner, _ = runs(number)
     odd = np.random.default_rng(271).integers(1 << 62, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     out = np.tile(np.arange(bands, dtype=np.uint64), (len(number), 1))
+    # Most shingles weigh the same; what they draw is looked up. Others are computed one by one.
+    found, times = np.unique(logs, return_counts=True)
+    usual = found[np.argmax(times)]
+    drawn = c_of - r_of * (np.floor(usual / r_of + b_of) - b_of) - r_of
+    others = np.flatnonzero(logs != usual)
     for k in range(bands * rows):
-        pick = ((hashes * odd[k]) >> np.uint64(48)).astype(np.int64)
-        r, b = r_of[pick], b_of[pick]
-        t = np.floor(logs / r + b)
-        least = c_of[pick] - r * (t - b) - r
-        lowest = np.flatnonzero(least == np.minimum.reduceat(least, starts)[owner])
+        pick = ((hashes * odd[k]) >> np.uint64(48)).view(np.int64)
+        least = drawn.take(pick)
+        some = pick[others]
+        r, b = r_of[some], b_of[some]
+        least[others] = c_of[some] - r * (np.floor(logs[others] / r + b) - b) - r
+        lowest = np.flatnonzero(least == np.repeat(np.minimum.reduceat(least, starts), number))
         lowest = lowest[np.unique(owner[lowest], return_index=True)[1]]
-        sample = hashes[lowest] ^ (t[lowest].astype(np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        t = np.floor(logs[lowest] / r_of[pick[lowest]] + b_of[pick[lowest]])
+        sample = hashes[lowest] ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         column = out[:, k // rows]
         column ^= sample + np.uint64(k)
         column *= _MIX
