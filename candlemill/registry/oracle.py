@@ -231,6 +231,7 @@ ORACLE: dict[str, str] = {
     "replace_by_key": f"""SELECT {_BAR} FROM (SELECT * REPLACE (CASE WHEN "index" = '2-HIGH' THEN 0.0::double ELSE volume END AS volume) FROM ({_orders("1d")}))""",
     "drop_symbol": f"""SELECT store, {_BAR} FROM ({_events("4h")}) CROSS JOIN {_TWO_STORES} WHERE "index" <> 'error'""",
     "compact_partitions": f"SELECT {_BAR}, CAST(1 AS BIGINT) AS files FROM ({_events('1h')})",
+    "compact_catalogue": f"SELECT {_BAR}, CAST(1 AS BIGINT) AS files FROM ({_events('1h')})",
     "backfill_plan": _backfill(),
     "asset_catalog": """SELECT lower(c_mktsegment) || '_' || c_name AS id, 'C' || c_custkey AS symbol,
         split_part(lower(c_mktsegment) || '_' || c_name, '_', 1) AS exchange FROM customer""",

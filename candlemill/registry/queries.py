@@ -563,6 +563,17 @@ def compact_partitions(spark, sf_dir):
     return _bars_out(store.read("1h").join(counts, ["index", "cuote_date"]), "files")
 
 
+@query
+def compact_catalogue(spark, sf_dir):
+    """The same in a catalogue table, whose partitions are pointed to the new files."""
+    store = _catalog(spark, "compact")
+    bars = event_bars(spark, sf_dir).withColumns(temporal.calendar_columns())
+    for night in (True, False):
+        store.append("1h", bars.where((F.hour("cuote_timestamp") < 12) == night))
+    compact.compact_partitions(store, "1h")
+    return _bars_out(store.read("1h").join(store.file_counts("1h"), ["index", "cuote_date"]), "files")
+
+
 @query
 def backfill_plan(spark, sf_dir):
     """Per customer and timeframe, from the newest order; customers of one segment start anew."""

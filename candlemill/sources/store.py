@@ -6,6 +6,7 @@ catalogue. Both offer the same operations, so the load pipelines take either.
 
 from __future__ import annotations
 
+import uuid
 from itertools import islice
 
 from pyspark.errors import AnalysisException
@@ -33,6 +34,7 @@ from candlemill.session import written
 
 _BROADCAST_ROWS = 1_000_000  # of a symbol and a date: some tens of megabytes
 _STATEMENT_PARTITIONS = 500
+_REWRITTEN = "_rewritten-"  # folders of compacted files; listings of the table's folder pass over them
 _NAMED_SYMBOLS = 1_000  # symbols whose folders are listed one by one
 
 _LISTING = T.StructType(
@@ -94,6 +96,17 @@ class BarStore:
         """Remove whole partitions, given by their partition columns."""
         raise NotImplementedError
 
+    def file_counts(self, timeframe: str) -> DataFrame:
+        """Number of data `files` per partition."""
+        raise NotImplementedError
+
+    def rewrite_partitions(self, timeframe: str, partitions: DataFrame, remove_replaced: bool = False) -> None:
+        """Write the given partitions (distinct; a written table) anew, each as one file.
+
+        `remove_replaced` deletes the old files where the rewrite itself does not.
+        """
+        raise NotImplementedError
+
     # shared
     def drop_symbols(self, timeframe: str, symbols: list[str]) -> None:
         """Remove all partitions of the symbols."""
@@ -250,6 +263,13 @@ class PathStore(BarStore):
         reader = self.spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
         return reader.option("basePath", self.location(timeframe)).load(folders).drop("content")
 
+    def file_counts(self, timeframe: str) -> DataFrame:
+        """From the listing; no file is opened."""
+        return self.files(timeframe).groupBy(*partition_columns(timeframe)).agg(F.count(F.lit(1)).alias("files"))
+
+    def rewrite_partitions(self, timeframe: str, partitions: DataFrame, remove_replaced: bool = False) -> None:
+        self.overwrite_partitions(timeframe, self.read_partitions(timeframe, partitions))
+
     def _partitions(self, timeframe: str, symbols: list[str] | None = None) -> DataFrame:
         return self.files(timeframe, symbols).select(*partition_columns(timeframe)).distinct()
 
@@ -329,6 +349,40 @@ class CatalogStore(BarStore):
         finally:
             self.spark.conf.set(mode, before)
 
+    def _data_files(self, timeframe: str) -> DataFrame:
+        """Distinct data files that partitions point to, with the partition values; reads no column of the data."""
+        path = F.col("_metadata.file_path").alias("path")
+        return self._read(timeframe).select(*partition_columns(timeframe), path).distinct()
+
+    def file_counts(self, timeframe: str) -> DataFrame:
+        return self._data_files(timeframe).groupBy(*partition_columns(timeframe)).agg(F.count(F.lit(1)).alias("files"))
+
+    def location(self, timeframe: str) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.table(timeframe)}")
+        return described.where("col_name = 'Location'").head().data_type
+
+    def rewrite_partitions(self, timeframe: str, partitions: DataFrame, remove_replaced: bool = False) -> None:
+        """Complete new files first, then one change of the catalogue per partition; replaced files go last, if at all."""
+        keys = partition_columns(timeframe)
+        base = f"{self.location(timeframe)}/{_REWRITTEN}{uuid.uuid4().hex}"
+        bars = self.layout(timeframe, self.read_partitions(timeframe, partitions))
+        bars.write.partitionBy(*keys).parquet(base)
+        schema = T.StructType(_LISTING.fields + partition_fields(timeframe))
+        listed = self.spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet").load(base)
+        folders = written(listed.select(*keys, _folder("path").alias("folder")).distinct(), "folders")
+        conf = self.spark._jsc.hadoopConfiguration()
+        for row in folders.toLocalIterator():  # partition values and folder names only
+            table = f"{self.table(timeframe)} PARTITION (" + ", ".join(f"{k} = {_literal(row[k])}" for k in keys) + ")"
+            before = self._partition_folder(table)
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(row.folder)}")
+            if remove_replaced:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(before)
+                path.getFileSystem(conf).delete(path, True)
+
+    def _partition_folder(self, table_partition: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_partition}")
+        return described.where("col_name = 'Location'").head().data_type
+
     def drop_partitions(self, timeframe: str, partitions: DataFrame) -> None:
         keys = partition_columns(timeframe)
         rows = partitions.select(*keys).distinct().toLocalIterator()  # partition values only
@@ -339,6 +393,10 @@ class CatalogStore(BarStore):
             self.spark.sql(f"ALTER TABLE {self.table(timeframe)} DROP IF EXISTS {specs}")
 
 
+def _folder(column: str) -> Column:
+    return F.regexp_replace(column, "/[^/]+$", "")
+
+
 def _literal(value: object) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -169,6 +169,37 @@ def test_compaction(spark, folder):
     assert compact_partitions(store, "1h") == 0
 
 
+@pytest.mark.parametrize("remove", [False, True])
+def test_compaction_of_catalogue_tables(spark, folder, remove):
+    store = CatalogStore(spark, f"db_{uuid.uuid4().hex}", folder)
+    assert compact_partitions(store, "1h") == 0
+    for hour in range(3):
+        load_incremental(store, full_bars(spark, [float(hour)], "A:B %'+", start=START + timedelta(hours=hour)), "1h")
+    load_incremental(store, full_bars(spark, [5.0], "B"), "1h")
+    before, counts = content(store), lambda: sorted(r.files for r in store.file_counts("1h").collect())
+    reader = store.read("1h")
+    files = reader.inputFiles()
+    assert counts() == [1, 3]
+    assert compact_partitions(store, "1h", remove_replaced=remove) == 1
+    assert counts() == [1, 1] and content(store) == before
+    assert compact_partitions(store, "1h") == 0
+    left = [f for f in files if _exists(spark, f)]
+    assert len(left) == (1 if remove else 4)
+    # later loads, replacements and drops follow the partitions to their new place
+    load_incremental(store, full_bars(spark, [7.0], "A:B %'+", start=START + timedelta(hours=3)), "1h")
+    assert counts() == [1, 2] and len(content(store)) == 5
+    assert compact_partitions(store, "1h", remove_replaced=remove) == 1 and len(content(store)) == 5
+    store.overwrite_partitions("1h", store.spark.createDataFrame(store.read("1h").where("cuote_close > 1").collect(), store.read("1h").schema))
+    assert counts() == [1, 1] and sorted(r[2] for r in content(store)) == [2.0, 5.0, 7.0]
+    drop_symbols(store, "1h", ["A:B %'+"])
+    assert [r[0] for r in content(store)] == ["B"]
+
+
+def _exists(spark, url):
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(url))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_all_timeframes(spark, folder):
     store = PathStore(spark, folder)
     bars = full_bars(spark, [1.0, 2.0]).withColumn("timeframe", F.explode(F.array(F.lit("1h"), F.lit("1w"))))
