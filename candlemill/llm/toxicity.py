@@ -78,11 +78,17 @@ class Model:
         return float(-np.expm1(-np.logaddexp(0, self.sentences(text)).sum()))
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int]]:
+    """Texts and labels; few texts at a time are Python values."""
+    for start, some in byte_slices(batch["text"]):
+        yield from zip(some, batch["label"].slice(start, len(some)).to_pylist(), strict=True)
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with and without the label that hold each feature, by task."""
     with_label, without = Counter(), Counter()
     for batch in batches:
-        for text, label in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["label"].to_pylist(), strict=True):
+        for text, label in _rows(batch):
             words = set(tokens(text)) - {b"."}
             (with_label if label else without).update(set().union(*map(features, words)) if words else ())
     names = list(with_label | without)
@@ -117,7 +123,7 @@ def _bags(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"label": [], "plain": [], "bags": []}
-            for text, label in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["label"].to_pylist(), strict=True):
+            for text, label in _rows(batch):
                 sentences, words = [[]], 0
                 plain = 0
                 for w in [*tokens(text), b"."]:
@@ -174,7 +180,11 @@ def fit(sample: DataFrame, steps: int = 300, rate: float = 0.15, ridge: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    return fit(training_sample(docs, labels, label_col, rows).persist())
+    sample = training_sample(docs, labels, label_col, rows).persist()
+    try:
+        return fit(sample)
+    finally:
+        sample.unpersist()
 
 
 def score(docs: DataFrame, model: Model, out: str = "toxicity", text_col: str = "text") -> DataFrame:
