@@ -5,26 +5,35 @@ each window beside it. Documents are scanned once in Arrow batches: words become
 by a dictionary of the benchmark's words, windows of known words are hashed with rolling
 arithmetic, looked up, and every hit is compared word by word before it counts.
 
-The benchmark is broadcast in blocks of at most BLOCK_BYTES of text. A benchmark beyond
-that bound takes one more narrow pass over the documents for each block; nothing is shuffled.
+A benchmark of up to BLOCK_BYTES of text is broadcast whole, and nothing is shuffled. Of a
+larger one tasks hash the windows, and what is broadcast is a set of their hashes of fixed
+size (SLOTS bits). Document windows that it may hold, few of all, join the benchmark's
+windows by their words; what is found is joined back by digest of the text. The driver then
+holds no window of the benchmark.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlemill.session import written
+
 from .common import WORD_BYTES, byte_slices, fresh, runs, text_of
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
+SLOTS = 1 << 27
+_SEGMENT = 1 << 15
+_SALTS = 8
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,26 +120,137 @@ _ARROW = pa.struct(
 
 
 def _scanner(windows: Broadcast):
-    """Column function of the texts and the results of earlier blocks."""
+    """Column function of the texts."""
 
     @F.arrow_udf(_SCHEMA)
-    def scan(text: pa.Array, earlier: pa.Array) -> pa.Array:
+    def scan(text: pa.Array) -> pa.Array:
         parts = []
-        for start, some in byte_slices(text):
-            counts, spans, items = windows.value.scan(some)
-            rows = []
-            for n, s, i, old in zip(counts, spans, items, earlier.slice(start, len(some)).to_pylist(), strict=True):
-                if old:
-                    s, i = _joined([*s, *((x["first"], x["after"]) for x in old["spans"])]), i.union(old["items"])
-                rows.append(
-                    {"n_words": int(n), "spans": [{"first": a, "after": b} for a, b in s], "items": sorted(i)}
-                )
+        for _, some in byte_slices(text):
+            rows = [
+                {"n_words": int(n), "spans": [{"first": a, "after": b} for a, b in s], "items": sorted(i)}
+                for n, s, i in zip(*windows.value.scan(some), strict=True)
+            ]
             parts.append(pa.array(rows, _ARROW))
         return pa.concat_arrays(parts) if parts else pa.array([], _ARROW)
 
     return scan.asNondeterministic()
 
 
+def _word_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
+    known: dict[bytes, int] = {}
+    for text in texts:
+        for word in text:
+            if word not in known:
+                known[word] = xxhash.xxh3_64_intdigest(word)
+    return [np.fromiter(map(known.__getitem__, text), np.uint64, len(text)) for text in texts]
+
+
+def _benchmark_windows(texts: DataFrame, window: int) -> DataFrame:
+    """Distinct (item, n, hash, words) of the windows of benchmark rows (item, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch["item"].to_pylist()
+            for start, some in byte_slices(batch["text"]):
+                split = [words(t) for t in some]
+                for i, (found, hashes) in enumerate(zip(split, _word_hashes(split), strict=True)):
+                    n = min(window, len(found))
+                    if n:
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "item": [items[start + i]] * (len(found) - n + 1),
+                                "n": pa.array([n] * (len(found) - n + 1), pa.int32()),
+                                "hash": _rolling(hashes, n).view(np.int64),
+                                "words": pa.array([b" ".join(found[k : k + n]) for k in range(len(found) - n + 1)], pa.binary()),
+                            }
+                        )
+
+    return texts.mapInArrow(run, "item string, n int, hash bigint, words binary").distinct()
+
+
+def _hash_set(windows: DataFrame) -> np.ndarray:
+    """SLOTS bits, those of the windows' hashes set; packed by segment in tasks."""
+
+    def pack(key, rows):
+        bits = np.zeros(_SEGMENT, np.uint8)
+        bits[rows["slot"].to_numpy() % _SEGMENT] = 1
+        return pa.table({"segment": key[0:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    slots = windows.select(F.col("hash").bitwiseAND(SLOTS - 1).alias("slot")).distinct()
+    segments = slots.groupBy(F.floor(F.col("slot") / _SEGMENT).alias("segment")).applyInArrow(pack, "segment bigint, bits binary")
+    packed = np.zeros((SLOTS // _SEGMENT, _SEGMENT // 8), np.uint8)
+    found = segments.toArrow()  # SLOTS / 8 bytes at most
+    for segment, bits in zip(found["segment"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        packed[segment] = np.frombuffer(bits, np.uint8)
+    return packed.ravel()
+
+
+def _maybe_windows(texts: DataFrame, bits: Broadcast, lengths: list[int]) -> DataFrame:
+    """Distinct (digest, first, n, words) of the texts' windows whose hash the set holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, some in byte_slices(batch["text"]):
+                split = [words(t) for t in some]
+                for text, found, hashes in zip(some, split, _word_hashes(split), strict=True):
+                    for n in lengths:
+                        if len(found) < n:
+                            continue
+                        slots = _rolling(hashes, n) & np.uint64(SLOTS - 1)
+                        at = bits.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1
+                        first = np.flatnonzero(at)
+                        if len(first):
+                            yield pa.RecordBatch.from_pydict(
+                                {
+                                    "digest": pa.array([hashlib.sha256(text).digest()] * len(first), pa.binary()),
+                                    "first": first.astype(np.int64),
+                                    "n": np.full(len(first), n, np.int32),
+                                    "words": pa.array([b" ".join(found[k : k + n]) for k in first], pa.binary()),
+                                }
+                            )
+
+    return texts.mapInArrow(run, "digest binary, first bigint, n int, words binary").distinct()
+
+
+def _join_spans(spans: pa.Array) -> pa.Array:
+    joined = [_joined([(s["first"], s["after"]) for s in row]) for row in spans.to_pylist()]
+    return pa.array([[{"first": a, "after": b} for a, b in row] for row in joined], _ARROW.field("spans").type)
+
+
+def _count_words(text: pa.Array) -> pa.Array:
+    return pa.array([len(words(t)) for _, some in byte_slices(text) for t in some], pa.int64())
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+
+
+def _by_shuffle(docs: DataFrame, texts: DataFrame, out: str, text_col: str, window: int) -> DataFrame:
+    """`find_leaks` for a benchmark (item, text) of any size; a window or text that very many rows share is dealt over salts."""
+    windows = written(_benchmark_windows(texts, window), "windows")
+    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # `window` numbers at most
+    bits = docs.sparkSession.sparkContext.broadcast(_hash_set(windows))
+    hits = written(_maybe_windows(docs.select(text_of(text_col).alias("text")), bits, lengths), "hits")
+    bits.unpersist()
+    hits = hits.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(_SALTS)).cast("int"))
+    occurring = windows.select("words", "item").join(hits.select("words").distinct(), "words", "left_semi")
+    verified = hits.join(_salted(occurring.select("words").distinct()), ["words", "salt"], "left_semi")
+    spans = verified.groupBy("digest").agg(F.collect_list(F.struct("first", (F.col("first") + F.col("n")).alias("after"))).alias("spans"))
+    owners = hits.select("digest", "words", "salt").distinct().join(_salted(occurring), ["words", "salt"])
+    items = owners.groupBy("digest").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    join_spans = F.arrow_udf(_join_spans, "array<struct<first: bigint, after: bigint>>")
+    leaks = written(spans.select("digest", join_spans("spans").alias("spans")).join(items, "digest"), "leaks")
+
+    digest, salt, found = (fresh(docs, f"{out}_{x}") for x in ("digest", "salt", "found"))
+    right = _salted(leaks).select(F.col("digest").alias(digest), F.col("salt").alias(salt), F.struct("spans", "items").alias(found))
+    keyed = docs.withColumn(digest, F.unhex(F.sha2(text_of(text_col), 256))).withColumn(salt, F.spark_partition_id() % _SALTS)
+    joined = keyed.join(right, [digest, salt], "left")
+    none = F.from_json(F.lit('{"spans": [], "items": []}'), "struct<spans: array<struct<first: bigint, after: bigint>>, items: array<string>>")
+    held = F.coalesce(F.col(f"`{found}`"), none)
+    leak = F.struct(F.arrow_udf(_count_words, "bigint")(text_of(text_col)).alias("n_words"), held["spans"].alias("spans"), held["items"].alias("items"))
+    return joined.select(*[f"`{c}`" for c in docs.columns if c.lower() != out.lower()], leak.alias(out))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -153,21 +273,11 @@ def find_leaks(
         text_of(item_text_col).alias("text"),
     )
     size = texts.agg(F.sum(F.octet_length("text") + 16)).head()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    context = docs.sparkSession.sparkContext
-    before = None
-    for block in range(blocks):
-        rows = texts.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        windows = context.broadcast(Windows([(r["item"], r["text"].encode()) for r in rows], window))
-        name = fresh(docs, f"{out}_{block}")
-        earlier = F.lit(None).cast(_SCHEMA) if before is None else F.col(f"`{before}`")
-        docs = docs.withColumn(name, _scanner(windows)(text_of(text_col), earlier))
-        if before is not None:
-            docs = docs.drop(before)
-        before = name
-    if out.lower() in {c.lower() for c in docs.columns}:
-        docs = docs.drop(out)
-    return docs.withColumnRenamed(before, out)
+    if size > BLOCK_BYTES:
+        return _by_shuffle(docs, texts, out, text_col, window)
+    windows = Windows([(r["item"], r["text"].encode()) for r in texts.collect()], window)
+    found = _scanner(docs.sparkSession.sparkContext.broadcast(windows))(text_of(text_col))
+    return docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != out.lower()], found.alias(out))
 
 
 def hit_words(leak: str = "leak") -> Column:

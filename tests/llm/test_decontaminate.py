@@ -37,12 +37,29 @@ def test_against_brute_force(spark):
     assert sorted(map(str, (tuple(r) for r in got if r["doc_id"] != 4))) == sorted(map(str, want))
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
-    bench = items(spark, [(i, f"{ITEM} {i}") for i in range(30)])
-    table = docs(spark, [(i, f"start {ITEM} {i} end") for i in range(0, 40, 3)])
-    whole = sorted(map(tuple, d.report(d.find_leaks(table, bench)).collect()))
-    monkeypatch.setattr(d, "BLOCK_BYTES", 700)
-    assert sorted(map(tuple, d.report(d.find_leaks(table, bench)).collect())) == whole
+def test_large_benchmarks_give_the_same(spark, monkeypatch):
+    """Shared, short and NULL items, windows of many items and documents, copies, awkward and long texts."""
+    bench = items(spark, [*((i, f"{ITEM} {i}") for i in range(30)), (31, "Short item"), (32, None), (None, "wizards make toxic"), (33, ITEM)])
+    rows = [*((i, f"start {ITEM} {i} end") for i in range(0, 40, 3)), *((100 + i, f"short ITEM; {ITEM}") for i in range(20))]
+    table = clashing(docs(spark, [*rows, (200, f"{LONG} {ITEM}")]).unionByName(awkward(spark)), "leak", "leak_digest", "salt")
+    whole = d.find_leaks(table, bench)
+    want = sorted(map(str, whole.select("doc_id", "leak").collect()))
+    monkeypatch.setattr(d, "BLOCK_BYTES", 100)
+    got = d.find_leaks(table, bench)
+    assert got.columns == whole.columns
+    assert sorted(map(str, got.select("doc_id", "leak").collect())) == want
+    kept = sorted(r["doc_id"] or -1 for r in d.remove_leaks(table, bench).collect())
+    monkeypatch.undo()
+    assert kept == sorted(r["doc_id"] or -1 for r in d.remove_leaks(table, bench).collect())
+
+
+def test_false_hashes_are_no_hits(spark, monkeypatch):
+    """A hash set that holds everything sends all windows on; only those of equal words count."""
+    table = docs(spark, [(1, ITEM + " tail"), (2, "some clean words, no fewer than ten of them stand here")])
+    monkeypatch.setattr(d, "BLOCK_BYTES", 0)
+    monkeypatch.setattr(d, "_hash_set", lambda windows: d.np.full(d.SLOTS // 8, 255, d.np.uint8))
+    got = d.report(d.find_leaks(table, items(spark, [(1, ITEM)]))).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in got] == [(13, 12, 1, True), (11, 0, 0, False)]
 
 
 def test_removal(spark):
@@ -54,7 +71,9 @@ def test_removal(spark):
     assert [r["text"] for r in cut.orderBy("doc_id").collect()] == ["Before, ! After.", "clean text", None]
 
 
-def test_empty_tables(spark):
+@pytest.mark.parametrize("bytes_", [d.BLOCK_BYTES, -1])
+def test_empty_tables(spark, monkeypatch, bytes_):
+    monkeypatch.setattr(d, "BLOCK_BYTES", bytes_)
     none = items(spark, [])
     assert d.report(d.find_leaks(empty(spark), none)).count() == 0
     assert not d.report(d.find_leaks(awkward(spark), none)).where("contaminated").count()
