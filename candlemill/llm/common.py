@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20  # texts handled at once inside a task
+BATCH_BYTES = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # Bytes that are no word characters become spaces, A-Z become a-z; bytes above 0x7F stay.
 WORD_BYTES = bytes(
@@ -38,6 +40,14 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`"), F.lit(""))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`; whole texts reach tasks' Python in batches of about BATCH_BYTES, not 64 MB, where the session sets no size."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCHES, None) is None:
+        conf.set(_BATCHES, str(BATCH_BYTES))
+    return df
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of an id as text, modulo `modulus`; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % modulus

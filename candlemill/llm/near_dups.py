@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from candlemill.session import written
 
-from .common import WORD_BYTES, byte_slices, fresh, runs, text_of
+from .common import WORD_BYTES, byte_slices, fresh, runs, small_batches, text_of
 from .graph import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -411,7 +411,7 @@ def _vertices(rows: DataFrame) -> DataFrame:
 def _labelled(docs: DataFrame, id_col: str, text_col: str, least: float, bands: int, rows: int) -> DataFrame:
     """(id, hash, class_id, kept) of every row; see `classes`."""
     text = text_of(text_col)
-    every = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    every = small_batches(docs).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
     every = _vertices(every)
     named = every.where("id is not null").select(F.col("vertex").alias("id"), "text")
     weights = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named))

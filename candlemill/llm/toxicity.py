@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, fresh, text_of
+from .common import byte_slices, fresh, small_batches, text_of
 from .labelled import SAMPLE_ROWS, held_out, training_sample
 
 MAX_FEATURES = 4096
@@ -180,7 +180,7 @@ def fit(sample: DataFrame, steps: int = 300, rate: float = 0.15, ridge: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    sample = training_sample(docs, labels, label_col, rows).persist()
+    sample = training_sample(small_batches(docs), labels, label_col, rows).persist()
     try:
         return fit(sample)
     finally:
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: Model, out: str = "toxicity", text_col: str =
     Rows are independent: repeated rows, empty tables and other columns need no care; a
     column called `out` is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def run(text: pa.Array) -> pa.Array:
