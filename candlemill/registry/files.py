@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import io
-import os
 import uuid
 import zipfile
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from candlemill.functions.text import request_payload
 from candlemill.operators.bars import bars_from_events
 from candlemill.schema import CSV_FIELDS
-from candlemill.session import local_path
 
 # From this day on the open times of the files are microseconds.
 MICROS_FROM = "2024-01-15"
@@ -43,37 +40,47 @@ def _csv_line() -> Column:
     return F.to_csv(F.struct(*[fields[f.name].alias(f.name) for f in CSV_FIELDS.fields]))
 
 
-def _writer(folder: str):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, text in zip(batch["name"], batch["text"]):
-                stem, kind = name.rsplit(".", 1)
-                content = text.encode()
-                if kind == "zip":
-                    buffer = io.BytesIO()
-                    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                        archive.writestr(f"{stem}.csv", content)
-                    content = buffer.getvalue()
-                part = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
-                with open(part, "wb") as out:
-                    out.write(content)
-                os.replace(part, os.path.join(folder, name))  # whole or not at all, also on a task's second try
-            yield batch[["name"]]
-
-    return write
+def _zipped(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+    """The archive of one file, less its last byte: a comment of one line break, which the text writer adds."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        with archive.open(f"{key[0].removesuffix('.zip')}.csv", "w") as out:
+            for line in lines.sort_values("cuote_timestamp")["line"]:
+                out.write(f"{line}\n".encode())
+        archive.comment = b"\n"
+    return pd.DataFrame({"name": [key[0]], "content": [buffer.getvalue()[:-1]]})
 
 
 def write_archives(bars: DataFrame, folder: str, period: str | None, kind: str = "csv") -> None:
-    """One file per series and period (a date pattern; None: one file per series)."""
-    folder = local_path(folder)
-    os.makedirs(folder, exist_ok=True)
+    """One file per series and period (a date pattern; None: one file per series), in any file system Spark writes to.
+
+    Spark's text writer streams the lines of a file, sorted by time; none is held as a whole. A zip archive
+    is put together in memory, so it should have a period. Files are written aside and named when all are whole.
+    """
+    spark = bars.sparkSession
     stem = ["index", "timeframe"] if period is None else ["index", "timeframe", F.date_format("cuote_timestamp", period)]
     rows = bars.select(
         F.concat(F.concat_ws("-", *stem), F.lit(f".{kind}")).alias("name"), "cuote_timestamp", _csv_line().alias("line")
     )
-    files = rows.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("cuote_timestamp", "line"))).alias("lines"))
-    texts = files.select("name", F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("text"))
-    texts.mapInPandas(_writer(folder), "name string").write.format("noop").mode("overwrite").save()
+    if kind == "zip":
+        archives = rows.groupBy("name").applyInPandas(_zipped, "name string, content binary")
+        files = archives.select("name", F.col("content").cast("string").alias("value"))
+    else:
+        files = rows.repartition("name").sortWithinPartitions("name", "cuote_timestamp").select("name", F.col("line").alias("value"))
+    aside = f"{folder}/.aside-{uuid.uuid4().hex}"  # of the same file system, and hidden from readers
+    files.write.partitionBy("name").text(aside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target = path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    unescaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for part in fs.globStatus(path(f"{aside}/name=*/part-*")) or []:
+        source = part.getPath()
+        named = path(target, unescaped(source.getParent().getName().removeprefix("name=")))
+        fs.delete(named, False)
+        if not fs.rename(source, named):
+            raise OSError(f"cannot name {named}")
+    fs.delete(path(aside), True)
 
 
 def order_requests(spark: SparkSession, sf_dir: str, symbol: Column | None = None) -> DataFrame:
