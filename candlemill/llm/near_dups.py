@@ -359,9 +359,15 @@ def _classed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(known, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
 
 
-def _leftover_links(members: DataFrame, labels: DataFrame, texts: DataFrame, links: DataFrame, weights, least: float) -> DataFrame:
-    """Links between members of a bucket that are still in different classes, by prefix filtering.
+def _edges(labels: DataFrame) -> DataFrame:
+    """Classes as edges that join the same members, each to the smallest."""
+    return labels.select(F.col("vertex").alias("a"), F.col("component").alias("b"))
 
+
+def _leftover_links(members: DataFrame, labels: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
+    """Edges (a, b) that join all classes: members to classes known before the last step, and the links found in it.
+
+    Members of a bucket that are still in different classes are compared by prefix filtering.
     First each text meets, per shingle of its prefix, the one that has least weight before that shingle:
     the middle of a group of near copies. Then texts outside a shingle's largest class meet all others they
     can still be similar to.
@@ -383,7 +389,7 @@ def _leftover_links(members: DataFrame, labels: DataFrame, texts: DataFrame, lin
     met = classed.join(hubs.select("hash", "hub"), "hash").where((F.col("class") != F.col("hub.class")) & _may_link("", "hub", least))
     met = written(met.select("id", F.col("hub.id").alias("hub")).distinct(), "middle-pairs")
     found = _checked(met, open_texts, weights, least)
-    labels = written(components(links.unionByName(found)), "labels")
+    labels = written(components(_edges(labels).unionByName(found)), "labels")
 
     classed = written(_classed(rows, labels), "classed")
     sizes = classed.groupBy("hash", "class").agg(F.count("*").alias("n"))
@@ -394,7 +400,7 @@ def _leftover_links(members: DataFrame, labels: DataFrame, texts: DataFrame, lin
     pairs = pairs.select(F.greatest("a.id", "b.id").alias("id"), F.least("a.id", "b.id").alias("hub")).distinct()
     tried = met.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub"))
     rest = _checked(written(pairs.join(tried, ["id", "hub"], "left_anti"), "stray-pairs"), open_texts, weights, least)
-    return found.unionByName(rest)
+    return _edges(labels).unionByName(rest)
 
 
 def _vertices(rows: DataFrame) -> DataFrame:
@@ -432,10 +438,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, least: float, bands:
         involved = F.broadcast(involved)
     texts = written(named.join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
     best = written(pairs.groupBy("id").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub")), "best")
-    links = _checked(best, texts, weights, least)
-    labels = written(components(links), "labels")
-    links = links.unionByName(_leftover_links(members, labels, texts, links, weights, least))
-    joined = components(links.unionByName(same))
+    labels = written(components(_checked(best, texts, weights, least)), "labels")
+    joined = components(_leftover_links(members, labels, texts, weights, least).unionByName(same))
     found = every.select("id", "hash", "vertex").join(joined, "vertex", "left").withColumn("class", F.coalesce("component", "vertex"))
     # Of a class the smallest id is kept, which need not be the smallest vertex where ids are shared.
     first = found.where("id is not null").groupBy("class").agg(F.min(F.struct("id", "vertex")).alias("first"))

@@ -182,3 +182,16 @@ def test_prefix_filter_loses_no_pair():
                 similar += 1
                 assert lets
     assert similar > 100 and passed < 150 * 149 / 2
+
+
+def test_components_of_known_classes_take_few_queries(spark, monkeypatch):
+    from candlemill.llm import graph
+
+    written, tables = graph.written, []
+    monkeypatch.setattr(graph, "written", lambda df, label: tables.append(label) or written(df, label))
+    monkeypatch.setattr(graph, "fingerprint", lambda edges: tables.append("asked") or fingerprint(edges))
+    stars = spark.range(100).selectExpr("id as a", "id - id % 10 as b")
+    assert {tuple(r) for r in components(stars).collect()} == {(i, i - i % 10) for i in range(100)}
+    assert tables == ["edges", "edges"]  # what is written says itself whether it changed
+    tables.clear()
+    assert components(stars.where("a < 0")).count() == 0 and tables == ["edges"]
